@@ -1,0 +1 @@
+"""Operators of the coverage and interval engine."""

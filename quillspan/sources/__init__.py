@@ -1,0 +1 @@
+"""Sources of the coverage and interval engine."""

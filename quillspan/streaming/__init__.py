@@ -1,0 +1 @@
+"""Streaming of the coverage and interval engine."""
