@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import language
 from .mixing import mix
 from .packing import pack_documents
 from .simhash import hamming_components
+from .toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,16 +27,24 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_components(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op6_simhash, op10_packing)}
+    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op6_simhash, op8_language, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
