@@ -11,6 +11,7 @@ from .mixing import mix
 from .packing import pack_documents
 from .simhash import hamming_components
 from .toxicity import toxicity
+from .warc import archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,12 +40,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op6_simhash, op8_language, op10_packing)}
+    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op6_simhash, op8_language, op9_warc, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
