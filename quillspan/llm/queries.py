@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import topk
+from .ann import nearest
 from .language import language
 from .mixing import mix
 from .packing import pack_documents
@@ -32,6 +34,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_components(table(spark, sf_dir, "documents"))
 
@@ -50,8 +60,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op6_simhash, op8_language, op9_warc, op10_packing)}
+    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op4_top_k, op5_neighbours, op6_simhash, op8_language, op9_warc, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_top_k": topk.ORACLE}
