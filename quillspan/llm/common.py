@@ -77,3 +77,29 @@ def ceil_div(a: int, b: int) -> int:
 def frombuffers(column: pa.Array, dtype, width: int) -> np.ndarray:
     """Equal-width binary values as a matrix with a row for each."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(len(column), width)
+
+
+def summed(vectors: DataFrame, length: int, chunk: int = 4096) -> np.ndarray | None:
+    """The sum of the vectors of doubles in the column v (binary), each of `length`; None if there are none.
+
+    The vectors are cut to pieces, and each piece is summed as it streams through the task that has its number:
+    no task holds more than its pieces of one vector, however many vectors there are.
+    """
+    pieces = ceil_div(length, chunk)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for v in batch[0].to_pylist():
+                x = np.frombuffer(v, np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([x[k * chunk : (k + 1) * chunk].tobytes() for k in range(pieces)], pa.binary())], names=["k", "v"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, v in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+                total[k] = total.get(k, 0.0) + np.frombuffer(v, np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "v"])
+
+    schema = "k int, v binary"
+    found = {r.k: np.frombuffer(r.v, np.float64) for r in vectors.mapInArrow(cut, schema).repartition(pieces, "k").mapInArrow(add, schema).collect()}
+    return np.concatenate([found[k] for k in range(pieces)]) if found else None

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ceil_div, slices
+from .common import slices, summed
 from .features import char_ngrams, has_letter
 
 #: Hashed n-grams: 2 to the power of this.
@@ -26,7 +26,6 @@ MOST_ROWS = 4_000
 #: Bound of the number of languages: the most frequent ones are learned.
 MOST_LANGUAGES = 500
 UNDETERMINED = "und"
-_CHUNK = 4096
 
 
 @dataclass
@@ -120,30 +119,21 @@ def fold(doc_id: Column) -> Column:
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """How many documents have each n-gram, over all of docs (column text), and how many documents there are.
 
-    Each task counts its documents in one vector; the vectors are summed piece by piece as they stream by.
+    Each task counts its documents in one vector.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, docs_seen = np.zeros(1 << BITS, np.int64), 0
+        df = np.zeros((1 << BITS) + 1)
         for batch in slices(batches):
             for t in batch[0].to_pylist():
                 df[distinct(char_ngrams(t, BITS))[0]] += 1
-                docs_seen += 1
-        parts = [df[k : k + _CHUNK].tobytes() for k in range(0, 1 << BITS, _CHUNK)] + [np.int64(docs_seen).tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["k", "v"])
+            df[-1] += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary())], names=["v"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, v in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(v, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "v"])
-
-    schema, pieces = "k int, v binary", ceil_div(1 << BITS, _CHUNK) + 1
-    found = {r.k: np.frombuffer(r.v, np.int64) for r in docs.select("text").mapInArrow(count, schema).repartition(pieces, "k").mapInArrow(add, schema).collect()}
-    if not found:
-        return np.zeros(1 << BITS, np.int64), 0
-    return np.concatenate([found[k] for k in range(pieces - 1)]), int(found[pieces - 1][0])
+    df = summed(docs.select("text").mapInArrow(count, "v binary"), (1 << BITS) + 1)
+    if df is None:
+        return np.zeros(1 << BITS), 0
+    return df[:-1], int(df[-1])
 
 
 def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:

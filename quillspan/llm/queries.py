@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import topk
 from .ann import nearest
 from .language import language
+from .lm_scoring import pseudo_likelihood
 from .mixing import mix
 from .packing import pack_documents
 from .simhash import hamming_components
@@ -30,6 +31,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_toxicity, op4_top_k, op5_neighbours, op6_simhash, op8_language, op9_warc, op10_packing)}
+    return {f.__name__: f for f in (op1_mixing, op2_lm_scoring, op3_toxicity, op4_top_k, op5_neighbours, op6_simhash, op8_language, op9_warc, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
