@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import topk
 from .ann import nearest
 from .language import language
+from .licenses import license_paragraphs
 from .lm_scoring import pseudo_likelihood
 from .mixing import mix
 from .packing import pack_documents
@@ -51,6 +52,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_components(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(table(spark, sf_dir, "documents"))
 
@@ -65,7 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_lm_scoring, op3_toxicity, op4_top_k, op5_neighbours, op6_simhash, op8_language, op9_warc, op10_packing)}
+    return {f.__name__: f for f in (op1_mixing, op2_lm_scoring, op3_toxicity, op4_top_k, op5_neighbours, op6_simhash, op7_licenses, op8_language, op9_warc, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
