@@ -22,7 +22,7 @@ MOST_REPEATS = 3
 #: Words that the knapsack program settles; what the shares of the lengths leave open is less in all but odd tables.
 PROGRAM_WORDS = 1 << 16
 #: Documents of a hash bucket on average: of each length one bucket at most is ranked, the others go whole.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 500
 #: Rows up to which the table of lengths is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
