@@ -31,6 +31,8 @@ STEP_TOKENS = 8192
 WARM_UP_ROWS = 400
 #: Different words that a task counts before it hands its counts on.
 COUNTED_WORDS = 200_000
+#: Words whose ids a task keeps.
+KEPT_WORDS = 400_000
 
 
 class Network:
@@ -122,17 +124,27 @@ class Network:
         return float(out.mean())
 
 
+class _Ids(dict):
+    """Word ids; those of words outside the vocabulary come from a hash, and are kept until there are too many."""
+
+    def __missing__(self, word: str) -> int:
+        out = VOCABULARY - BUCKETS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+        if len(self) < KEPT_WORDS:
+            self[word] = out
+        return out
+
+
 class Vocabulary:
     def __init__(self, frequent: list[str]):
-        self.ids = {w: i for i, w in enumerate(frequent[: VOCABULARY - BUCKETS])}
+        self.frequent = frequent[: VOCABULARY - BUCKETS]
+        self.ids = _Ids((w, i) for i, w in enumerate(self.frequent))
+
+    def __reduce__(self):
+        return Vocabulary, (self.frequent,)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        get, ws = self.ids.get, words(text, fold=True)
-        out = [get(w, -1) for w in ws]
-        if -1 in out:
-            other = VOCABULARY - BUCKETS
-            out = [i if i >= 0 else other + zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for i, w in zip(out, ws, strict=True)]
-        return np.array(out, np.int32)
+        ws = words(text, fold=True)
+        return np.fromiter(map(self.ids.__getitem__, ws), np.int32, len(ws))
 
 
 def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
