@@ -46,9 +46,9 @@ def rolling_ledger(results: DataFrame, ts: str = "ts", ttl_s: int = 3 * 3600) ->
     return results.groupBy("worker").applyInPandasWithState(fold, "worker string, at double, bad long, probed long", "at array<double>, bad array<long>, probed array<long>", "append", GroupStateTimeout.NoTimeout)
 
 
-def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Runs all that is there through `sink`, batch by batch, and stops. A batch that is run again has the same number."""
-    writer: DataStreamWriter = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink)
+    writer: DataStreamWriter = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink)
     query = writer.start()
     query.awaitTermination()
     return query
