@@ -171,3 +171,31 @@ def blocks(items: DataFrame, size: int = 1000) -> DataFrame:
     """item columns, block and length: each item cut to blocks of at most `size`."""
     x = items.where("n > 0").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), div(F.col("n") - 1, size))))
     return x.withColumn("length", F.least(F.lit(size), F.col("n") - F.col("block") * size))
+
+
+def universe(spec: DataFrame, compat: bool = False) -> DataFrame:
+    """tier, map_id, t0, t1, seq, n, ordinal0 of all of a spec: ranges as they stand, anchor tiers as items of one instant.
+
+    An anchor tier pairs every id of all_map_ids with its anchors, ids first, without the excluded pairs. compat: its
+    published size, which also takes exclusions of unknown ids off; that drops as many items at its end.
+    """
+    t = spec.select("all_map_ids", "anchors_ms", F.posexplode("tiers").alias("ti", "t"))
+    seq = F.col("ti").cast("long") * F.lit(1 << 40)
+    ranges = t.where("coalesce(t.kind, '') <> 'anchors'").select("ti", "t", F.posexplode("t.ranges").alias("ri", "r"))
+    ranges = ranges.select(F.col("t.tier_id").alias("tier"), F.col("r.map_id").alias("map_id"), (F.col("r.base") + F.col("r.start_offset_ms")).alias("t0"), (F.col("r.base") + F.col("r.end_offset_ms")).alias("t1"), (seq + F.col("ri")).alias("seq")).where("t1 > t0")
+    a = t.where("t.kind = 'anchors'").select("ti", "t", "anchors_ms", F.posexplode("all_map_ids").alias("mi", "map_id"))
+    a = a.select("ti", "t", "anchors_ms", "mi", "map_id", F.posexplode("t.anchors").alias("ai", "anchor"))
+    out = F.expr("exists(coalesce(t.exclude, array()), e -> e.map_id = map_id and array_contains(e.anchors, anchor))")
+    a = a.where(~out).withColumn("t0", F.try_element_at("anchors_ms", F.col("anchor")))
+    anchors = a.select(F.col("t.tier_id").alias("tier"), "map_id", "t0", (F.col("t0") + 1).alias("t1"), (seq + F.col("mi").cast("long") * F.lit(1 << 16) + F.col("ai")).alias("seq"), "ti", "t")
+    if compat:
+        known = t.where("t.kind = 'anchors'").select("ti", F.expr("size(all_map_ids) * size(t.anchors) - aggregate(coalesce(t.exclude, array()), 0, (s, e) -> s + size(e.anchors))").alias("__size"))
+        rank = F.row_number().over(Window.partitionBy("ti").orderBy("seq"))
+        anchors = anchors.withColumn("__n", rank).join(F.broadcast(known), "ti").where(F.col("__n") <= F.col("__size"))
+    items = ranges.unionByName(anchors.select("tier", "map_id", "t0", "t1", "seq"))
+    return with_offsets(items, F.col("t1") - F.col("t0"))
+
+
+def tier_table(items: DataFrame) -> DataFrame:
+    """tier, start_ordinal, count of the tiers of a universe, in order."""
+    return items.groupBy("tier").agg(F.min("ordinal0").alias("start_ordinal"), F.sum("n").alias("count")).orderBy("start_ordinal")
