@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices, written
 from .features import word_hashes
 
 #: Bounds of the training sample: confirmed toxic documents and unlabelled ones, chosen by a hash.
@@ -125,13 +126,21 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
 
-def _features(rows: DataFrame) -> DataFrame:
+def _features(rows: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
+    """toxic, f: the features of each text, of those in `keep` (sorted) if that is given."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [features(t).tobytes() for t in batch[1].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(out, pa.binary())], names=["toxic", "f"])
+        for batch in slices(batches):
+            out = []
+            for t in batch[1].to_pylist():
+                f = features(t)
+                if keep is not None:
+                    at = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
+                    f = f[keep[at] == f]
+                out.append(f.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch[0], pa.array(out, pa.list_(pa.int64()))], names=["toxic", "f"])
 
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, f binary")
+    return rows.select("toxic", "text").mapInArrow(run, "toxic int, f array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Model:
@@ -145,12 +154,27 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     prior = min(0.9, max(1e-3, (toxic or 0) / total)) if total else 0.05
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1) & F.col("text").isNotNull())
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    ids = seen.where("toxic = 1").where(h < F.lit(1.2 * most_positive / max(1, toxic or 0))).select("doc_id")
-    positive = own.join(ids, "doc_id").select(F.lit(1).alias("toxic"), "text").limit(most_positive)
-    n = own.select("doc_id").count()
-    unlabelled = own.where(h < F.lit(1.2 * most_unlabelled / max(1, n))).select(F.lit(0).alias("toxic"), "text").limit(most_unlabelled)
-    rows = _features(positive.unionAll(unlabelled)).collect()
-    of = lambda c: sorted((np.frombuffer(r.f, np.uint64) for r in rows if r.toxic == c), key=lambda f: f.tobytes())
+    n = docs.count()
+    # the sample's ids are bounded, so they are broadcast and no text is shuffled
+    positive = seen.where("toxic = 1").where(h < F.lit(1.2 * most_positive / max(1, toxic or 0))).select("doc_id").limit(most_positive)
+    unlabelled = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).where(h < F.lit(1.8 * most_unlabelled / max(1, n))).distinct().limit(most_unlabelled)
+    ids = positive.withColumn("toxic", F.lit(1)).unionAll(unlabelled.withColumn("toxic", F.lit(0)))
+    sample = written(own.join(F.broadcast(written(ids, "sample-ids")), "doc_id").select("toxic", "text"), "sample")
+    counts = sample.groupBy("toxic").count().collect()
+    p, u = (sum(r["count"] for r in counts if r.toxic == c) for c in (1, 0))
+    if not p or not u:
+        return train([], [], prior)
+    # only features that toxic documents share beyond what is expected can take part: the rest stays on the executors
+    seen_in = _features(sample).select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    expected = F.lit(float(p)) * (F.col("b") + 0.5) / F.lit(float(u))
+    shared = seen_in.where((F.col("a") >= LEAST_DOCS) & ((F.col("a") - expected) / F.sqrt(expected + 0.25) >= LEAST_DEVIATION)).select("f").toArrow()
+    keep = np.sort(shared["f"].to_numpy().view(np.uint64))
+    if not len(keep):
+        return train([], [], prior)
+    rows = _features(sample, keep).toArrow()
+    toxic_rows = rows["toxic"].to_numpy()
+    lists = [f.values.to_numpy().view(np.uint64) for f in rows["f"]]
+    of = lambda c: sorted((f for f, t in zip(lists, toxic_rows, strict=True) if t == c), key=lambda f: f.tobytes())
     return train(of(1), of(0), prior)
 
 
