@@ -23,7 +23,7 @@ OPEN_BINS = 1024
 #: Pieces that one packing task gets on average.
 PIECES_PER_TASK = 100_000
 #: Entries of each of a worker's two token caches; beyond that they start anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 END_ID = 1
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
