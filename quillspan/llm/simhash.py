@@ -7,14 +7,17 @@ bytes of a pair are tallied, pairs below the guaranteed count go, and the rest a
 Only a spanning forest of the links leaves a task, never the pairs of a group. Equal fingerprints are one
 entry of the index, so groups of exact copies cost nothing.
 
-For word-shingle similarity (`similar_groups`) the fingerprint is wider than any useful guarantee allows;
-there the lists are keyed by as many sampled sets of positional bytes as a wanted recall asks for.
+For word-shingle similarity (`similar_groups`) the fingerprint, of the distinct shingles, is wider than any useful
+guarantee allows; there the lists are keyed by as many sampled sets of positional bytes as a wanted recall asks for,
+and short texts by rare shingles besides. These lists only propose groups: a link counts when the shingle sets of
+both whole texts have been compared.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +33,10 @@ SEED = 42
 ENTRIES_PER_TASK = 1_000_000
 #: Shingles that are hashed at once; longer texts go through in blocks.
 BLOCK = 1 << 20
+#: Distinct shingles up to which a text also meets others by shingles: the bits of so few are too coarse for the model.
+SHORT = 32
+#: The share of differing bits of the least favourable pair of sets at 0.8: four shingles, and the same four with a fifth.
+LEAST_FAVOURABLE = 3 / 16
 _LANES = np.uint64(0x0101010101010101)
 _SHIFTS = np.arange(8, dtype=np.uint64)
 #: Fixed odd multipliers that derive the further 64-bit words of wide fingerprints.
@@ -68,9 +75,19 @@ def _ones(h: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str | None, n: int = 4, width: int = 64) -> bytes:
     """The SimHash of a text, most significant byte first: a bit is 1 if set in over half the shingle hashes; no words: zero."""
+    return _sketch(shingle_hashes(words(text, fold=True), n), width)
+
+
+def shingle_set(text: str | None, n: int) -> np.ndarray:
+    """The distinct shingle hashes of the whole text, ascending."""
+    parts = [np.unique(h) for h in shingle_hashes(words(text, fold=True), n)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def _sketch(hashes: Iterable[np.ndarray], width: int) -> bytes:
     k = width // 64
     ones, total = np.zeros((k, 64), np.int64), 0
-    for h in shingle_hashes(words(text, fold=True), n):
+    for h in hashes:
         total += len(h)
         for i in range(k):
             if i:
@@ -159,8 +176,10 @@ def _root(links: dict[int, int], x: int) -> int:
 def links_of(distinct: DataFrame, positions: list[tuple[int, ...]], most_bits: int, width: int, least_bytes: int) -> DataFrame:
     """a, b: a spanning forest of the links among distinct fingerprints (column fp), task by task.
 
-    positions: the sets of byte positions that key the posting lists.
+    positions: the sets of byte positions that key the posting lists. A column `more` (binary) may name further
+    lists of a fingerprint, as 64-bit numbers.
     """
+    further = "more" in distinct.columns
     sets = [list(p) for p in positions]
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +190,10 @@ def links_of(distinct: DataFrame, positions: list[tuple[int, ...]], most_bits: i
                 for c in p:
                     key = key << 8 | raw[:, c]
                 yield pa.RecordBatch.from_arrays([pa.array(key | k << 32), batch[0]], names=["key", "fp"])
+            if further:
+                keys = [np.frombuffer(b or b"", np.int64) for b in batch[1].to_pylist()]
+                own = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), batch[0].take(pa.array(own))], names=["key", "fp"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links: dict[int, int] = {}
@@ -210,7 +233,7 @@ def links_of(distinct: DataFrame, positions: list[tuple[int, ...]], most_bits: i
     n = distinct.count()
     tasks = max(1, ceil_div(n * len(sets), ENTRIES_PER_TASK))
     return (
-        distinct.select("fp").mapInArrow(post, "key long, fp binary").repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(meet, "a binary, b binary")
+        distinct.select("fp", *(["more"] if further else [])).mapInArrow(post, "key long, fp binary").repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(meet, "a binary, b binary")
     )
 
 
@@ -283,9 +306,15 @@ def sampled_positions(rows: int, width: int, similarity: float, recall: float) -
     """Sets of positional bytes for pairs of this Jaccard similarity: two bytes wide for up to a million distinct
     fingerprints, three for up to 2^28, then four; as many as bring a pair together with probability `recall`."""
     size = 2 if rows < 1 << 20 else 3 if rows < 1 << 28 else 4
-    meet = (1 - differing(similarity)) ** (8 * size)
-    wanted = math.ceil(math.log(1 - recall) / math.log(1 - meet))
-    rng, bytes_, out = np.random.default_rng(7), width // 8, {}
+    bytes_ = width // 8
+    same = (1 - differing(similarity)) ** 8
+    # sets share bytes, so a miss is reckoned for each number of bytes that the pair may share
+    shared = np.array([math.comb(bytes_, k) * same**k * (1 - same) ** (bytes_ - k) for k in range(bytes_ + 1)])
+    meet = np.array([math.comb(k, size) / math.comb(bytes_, size) for k in range(bytes_ + 1)])
+    wanted = 1
+    while shared @ (1 - meet) ** wanted > 1 - recall:
+        wanted += 1
+    rng, out = np.random.default_rng(7), {}
     while len(out) < wanted:  # rounds of disjoint sets, so that no byte is asked much more than another
         order = rng.permutation(bytes_)
         for at in range(0, bytes_ - size + 1, size):
@@ -298,19 +327,125 @@ def differing(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width: int = 512, recall: float = 0.95, slack: float = 1.25) -> DataFrame:
+def _prefix(n: int, similarity: float) -> int:
+    """How many of its n smallest shingle hashes a set needs so that it shares one of them with every set alike."""
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets (ascending) have this Jaccard similarity or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def _sets(docs: DataFrame, n: int, similarity: float, width: int) -> DataFrame:
+    """doc_id, th, sid (names the shingle set), size, fp (of the set) and, for short texts, more: the hashes by which sets alike are sure to meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(t, n) for t in batch[2].to_pylist()]
+            columns = [
+                pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([_sketch([x], width) for x in sets], pa.binary()),
+                pa.array([x[: _prefix(len(x), similarity)].tobytes() if len(x) <= SHORT else None for x in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], *columns], names=["doc_id", "th", "sid", "size", "fp", "more"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, th long, sid binary, size long, fp binary, more binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of sids whose sets (sid, hashes) are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [[np.frombuffer(x, np.uint64) for x in batch[k].to_pylist()] for k in (2, 3)]
+            keep = pa.array([alike(x, y, similarity) for x, y in zip(*sets, strict=True)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    x, y = (sets.select(F.col("sid").alias(c), F.col("hashes").alias(f"h{c}")) for c in "ab")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a binary, b binary")
+
+
+def _open_pairs(sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b: the pairs of one root (sid, root, size, part, hashes) that may be alike and aren't yet in one part. None is
+    lost: sets alike share one of the first hashes of either."""
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            first = [np.frombuffer(x, np.int64)[: _prefix(len(x) // 8, similarity)] for x in batch[4].to_pylist()]
+            own = pa.array(np.repeat(np.arange(len(first)), [len(x) for x in first]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), *(batch[k].take(own) for k in range(4))], names=["h", "sid", "root", "size", "part"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[bytes, bytes]] = []
+        key, members = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            for i, (a, n, p) in enumerate(members):
+                for b, m, o in members[i + 1 :]:
+                    if p != o and min(n, m) >= similarity * max(n, m) - 1e-9:
+                        out.append((min(a, b), max(a, b)))
+                if len(out) > 50_000:
+                    yield take()
+
+        def take() -> pa.RecordBatch:
+            found = list(dict.fromkeys(out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for h, sid, root, n, p in zip(*(batch[k].to_pylist() for k in range(5)), strict=True):
+                if (root, h) != key:
+                    yield from close()
+                    key, members = (root, h), []
+                members.append((sid, n, p))
+        yield from close()
+        yield take()
+
+    lists = sets.select("sid", "root", "size", "part", "hashes").mapInArrow(post, "h long, sid binary, root binary, size long, part binary")
+    return lists.repartition("root", "h").sortWithinPartitions("root", "h").mapInArrow(meet, "a binary, b binary").distinct()
+
+
+def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width: int = 512, recall: float = 0.99, slack: float = 4.0) -> DataFrame:
     """keys (doc_id, th, fp, root, component_id) of groups that are alike: n-word shingles, a Jaccard similarity of `similarity` or more.
 
-    The similarity is the fingerprints' estimate: pairs link up to the bits that `similarity` is expected to
-    differ in, plus `slack` standard deviations of that count. A pair at exactly `similarity` is brought
-    together with probability `recall`, more similar ones more surely.
+    fp names the shingle set. Fingerprints propose groups: a pair at exactly `similarity` meets with probability
+    `recall`, more similar ones more surely, and is proposed up to the bits that the least favourable pair of sets is
+    expected to differ in, plus `slack` standard deviations. Every link is then verified on the sets of both texts:
+    first the proposals' spanning forest, then all pairs of a proposed group that it leaves apart.
     """
-    keys = written(fingerprints(docs, n, width), "fingerprints")
-    distinct = written(keys.select("fp").distinct(), "distinct")
-    p = differing(similarity)
+    keys = written(_sets(docs, n, similarity, width), "sets")
+    nodes = written(keys.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("more").alias("more"), F.min(F.struct("doc_id", "th")).alias("row")), "nodes")
+    p = max(differing(similarity), LEAST_FAVOURABLE)
     most = round(width * p + slack * math.sqrt(width * p * (1 - p)))
-    edges = links_of(distinct, sampled_positions(distinct.count(), width, similarity, recall), most, width, 0)
-    return grouped(keys, edges)
+    forest = written(links_of(nodes, sampled_positions(nodes.count(), width, similarity, recall), most, width, 0), "forest")
+    # proposed groups of more than one set, and the texts' sets
+    roots = components(forest)
+    least = nodes.groupBy("fp").agg(F.min("sid").alias("least"), F.count(F.lit(1)).alias("n"))
+    least = written(least.join(roots, least.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "proposed")
+    many = least.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    member = written(nodes.join(least.join(many, "root").select("fp", "root", "least"), "fp").select("sid", "size", "root", "least", "row.doc_id", "row.th"), "members")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in range(3)), pa.array([shingle_set(t, n).tobytes() for t in batch[3].to_pylist()], pa.binary())], names=["sid", "root", "size", "hashes"])
+
+    text = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__th"), F.col("text").cast("string").alias("text"))
+    text = text.join(member, text["__id"].eqNullSafe(member.doc_id) & (text["__th"] == member.th)).select("sid", "root", "size", "text").dropDuplicates(["sid"])
+    sets = written(text.mapInArrow(hashes, "sid binary, root binary, size long, hashes binary"), "hashes")
+    ends = least.select("fp", "least")
+    tried = forest.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select("x", "y").unionAll(member.where("sid <> least").select("sid", "least"))
+    tried = tried.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sure = written(_verified(tried, sets, similarity), "verified")
+    parts = components(sure)
+    left = sets.join(parts, sets.sid == parts.node, "left").select("sid", sets.root, "size", F.coalesce(parts.root, "sid").alias("part"), "hashes")
+    apart = left.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("root")
+    open_ = _open_pairs(left.join(apart, "root").select("sid", "root", "size", "part", "hashes"), similarity).join(tried, ["a", "b"], "left_anti")
+    more = written(_verified(open_, sets, similarity), "verified")
+    return grouped(keys.select("doc_id", "th", F.col("sid").alias("fp")), sure.unionAll(more))
 
 
 def deduplicated(docs: DataFrame, **how) -> DataFrame:

@@ -97,3 +97,27 @@ def test_near_copies_go_and_clean_documents_stay(spark):
         rows += [(100 + i, " ".join(w)), (200 + i, " ".join(clean[i]))]
     out = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in out.collect()) == list(range(60))
+
+
+def _edited(rng, shared, own, name):
+    """Two texts of distinct five-word shingles, `shared` of them the same and `own` more in each."""
+    same = [f"{name}s{i}" for i in range(shared + 4)]
+    return " ".join(same + [f"{name}a{i}" for i in range(own)]), " ".join(same + [f"{name}b{i}" for i in range(own)])
+
+
+def test_links_are_exact_on_both_sides_of_the_threshold(spark):
+    """At 0.8 (8k of 10k shingles) all pairs link, just below none does."""
+    rng, rows, gone = np.random.default_rng(3), [], 0
+    for k in range(300):
+        size = int(rng.choice([1, 2, 5, 30, 100]))
+        a, b = _edited(rng, 8 * size, size, f"p{k}")
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    for k in range(300, 500):
+        size = int(rng.choice([1, 2, 5, 30, 100]))
+        a, b = _edited(rng, 8 * size - 1, size, f"p{k}")
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    left = {r.doc_id for r in deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left >= set(range(600, 1000))  # clean documents stay
+    assert left >= set(range(0, 600, 2))
+    gone = sum(k not in left for k in range(1, 600, 2))
+    assert gone >= 0.97 * 300  # of pairs at exactly 0.8, proposed with probability 0.99
