@@ -100,30 +100,49 @@ def write_archives(found: DataFrame, path: str, first_capture: int = FIRST_CAPTU
 
 
 def records(parts: Iterator[tuple[str, bytes]]) -> Iterator[tuple[str, int, dict[str, str], bytes]]:
-    """archive, offset, headers and block of each record, from the archives' pieces between blank lines, in order."""
-    archive, offset, pending, need = None, 0, [], -1
+    """archive, offset, headers and block of each record, from the archives' pieces between blank lines, in order.
+
+    Lengths count on the bytes as they were, with the blank lines put back. Where a block ends in a line break the
+    reader cuts before the record's own end; what a piece holds beyond that end begins the next record.
+    """
+    end = _END.encode()
+    archive, offset, pending, need, have = None, 0, [], -1, 0
+
+    def start(piece: bytes) -> None:
+        nonlocal pending, need, have
+        length = re.search(rb"\r\nContent-Length: (\d+)$", piece) if piece.startswith(b"WARC/1.") else None
+        if not length:
+            raise ValueError(f"{archive}: no record at {offset}")
+        pending, have = [piece], len(piece)
+        need = have + len(end) + int(length[1])
+
+    ended = False
     for name, piece in parts:
         if name != archive:
             if pending:
                 raise ValueError(f"{archive}: the last record is cut off")
-            archive, offset = name, 0
+            archive, offset, ended = name, 0, False
+        if ended:
+            raise ValueError(f"{archive}: no record at {offset}")
         if not pending:
-            if not piece.startswith(b"WARC/1."):
-                raise ValueError(f"{archive}: no record at {offset}")
-            pending, size = [piece], int(re.search(rb"\r\nContent-Length: (\d+)$", piece)[1])
-            need = len(piece) + len(_END) + size
-            have = len(piece)
+            start(piece)
         else:
             pending.append(piece)
-            have += len(_END) + len(piece)
+            have += len(end) + len(piece)
         if have >= need:
-            if have > need:
+            whole = end.join(pending)
+            if have > need and whole[need : need + len(end)] != end:
                 raise ValueError(f"{archive}: a record at {offset} is longer than it says")
-            head = pending[0].decode()
-            block = _END.encode().join(pending[1:])
-            yield archive, offset, dict(x.split(": ", 1) for x in head.split("\r\n")[1:]), block
-            offset += need + len(_END)
+            head = pending[0]
+            yield archive, offset, dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:]), whole[len(head) + len(end) : need]
+            offset += need + len(end)
             pending = []
+            if have > need:
+                rest = whole[need + len(end) :]
+                if rest:
+                    start(rest)
+                else:
+                    ended = True
     if pending:
         raise ValueError(f"{archive}: the last record is cut off")
 

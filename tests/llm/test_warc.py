@@ -90,3 +90,22 @@ def test_loser_tree(runs):
     runs = [sorted(r) for r in runs]
     assert list(LoserTree(runs)) == sorted(x for r in runs for x in r)
     random.shuffle(runs)
+
+
+def test_payloads_that_end_in_line_breaks(spark):
+    ends = ["\r\n", "\n\r\n", "\r\r\n", "\r\n\r\n\r\n", "\r", "\n", "\r\n\r", "\r\n\r\n\r", "\n\r"]
+    for k in range(len(ends)):  # each of them in the middle and as the last of an archive
+        turned = ends[k:] + ends[:k]
+        stream = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(x) + 6, b"<html>" + x.encode()) for x in turned)
+        pieces = stream.split(b"\r\n\r\n")
+        if not pieces[-1]:
+            pieces.pop()
+        found = list(records(("a", x) for x in pieces))
+        assert [block for *_, block in found] == [b"<html>" + x.encode() for x in turned]
+        assert all(stream[at:].startswith(b"WARC/1.1\r\n") for _, at, *_ in found)
+    rows = [(i, f"http://a.example/{i}", f"<html>{i}" + e) for i, e in enumerate(ends * 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "warc-test")
+    write_archives(captures(pages), path)
+    assert {r.page_id: bytes(r.payload).decode() for r in read_archives(spark, path).collect()} == {i: h for i, _, h in rows}
+    assert got(archive(pages)) == brute([(i, h) for i, _, h in rows])
