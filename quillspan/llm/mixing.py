@@ -19,8 +19,10 @@ from .common import WORD_PATTERN, written
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's words are taken at most this often.
 MOST_REPEATS = 3
-#: Words that the knapsack program settles; what the shares of the lengths leave open is less in all but odd tables.
+#: Words that the knapsack program settles at least; longer documents widen it.
 PROGRAM_WORDS = 1 << 16
+#: Width up to which the program counts single words; beyond (documents of over four million words), long ones are settled in coarser units first.
+WIDEST = 1 << 24
 #: Documents of a hash bucket on average: of each length one bucket at most is ranked, the others go whole.
 BUCKET_ROWS = 500
 #: Rows up to which the table of lengths is broadcast; beyond, it is joined by a shuffle.
@@ -57,7 +59,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, limit: int = PROGR
     """How many of each length to take so that the words come as near to the budget as they can.
 
     Shares first: of every length the part that budget / total gives, the fraction carried to the next shorter one.
-    The rest, up to `limit` words with some of what was taken, goes through the knapsack program.
+    That leaves less open than the longest document has. The rest, with some of what was taken, goes through the
+    knapsack program, whose width is `limit` words or four times the longest document.
     """
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
@@ -74,14 +77,23 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, limit: int = PROGR
         got = min(n, max(0, int(want)))
         take[i], carry = got, (want - got) * size
     left = budget - int((lengths * take).sum())
-    # give back some words, so that the program has room on both sides of the budget
-    for i in order.tolist():
-        size = int(lengths[i])
-        if size and left < limit // 2:
-            back = min(int(take[i]), max(0, (limit // 2 - left) // size), 64)
-            take[i] -= back
-            left += back * size
-    return take + _knapsack(lengths, counts - take, min(max(left, 0), limit))
+    # give back some words, so that the program has room on both sides of the budget: a few of each length, then more
+    width = max(limit, 4 * int(lengths[counts > 0].max()))
+    for most in (64, budget):
+        for i in order.tolist():
+            size = int(lengths[i])
+            if size and left < width // 2:
+                back = min(int(take[i]), -(-(width // 2 - left) // size), most)
+                take[i] -= back
+                left += back * size
+    if width > WIDEST:
+        unit = -(-width // WIDEST)
+        long = np.where(lengths > limit, (lengths + unit // 2) // unit, 0)
+        got = _knapsack(long, counts - take, max(left, 0) // unit)
+        take, left = take + got, left - int((lengths * got).sum())
+        lengths = np.where(lengths > limit, 0, lengths)
+        left = min(left, limit)
+    return take + _knapsack(lengths, counts - take, max(left, 0))
 
 
 def _nearest(reach: int, budget: int) -> int:
@@ -99,7 +111,7 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
         return out
     top = 2 * budget  # a sum beyond that is no nearer than none
     reach, full = 1, (1 << (top + 1)) - 1
-    first = np.full(top + 1, -1, np.int64)
+    first = np.full(top + 1, -1, np.int32)
     items: list[tuple[int, int, int]] = []
     for i in np.argsort(-lengths, kind="stable").tolist():
         size, n = int(lengths[i]), int(counts[i])

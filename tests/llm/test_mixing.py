@@ -83,3 +83,17 @@ def test_fit_is_near():
         best = min(abs(r - budget) for r in reach)
         if total <= 30_000:  # all goes through the program
             assert abs(got - budget) == best
+
+
+def test_fit_is_near_with_long_documents():
+    words = lambda lengths, counts, budget: int((np.array(lengths) * fit(np.array(lengths), np.array(counts), budget)).sum())
+    assert words([500, 1_000_000], [1000, 1], 900_000) == 1_000_000
+    assert words([150_000, 200_000, 250_000], [1, 1, 1], 400_000) == 400_000
+    assert words([20, 30_000_000, 50_000_000], [100, 1, 1], 50_000_500) == 50_000_500
+    rng = random.Random(4)
+    for _ in range(20):
+        lengths = sorted(rng.sample(range(50_000, 400_000), rng.randrange(2, 7)))
+        budget = rng.randrange(1, sum(lengths))
+        best = min(abs(sum(x for k, x in enumerate(lengths) if m >> k & 1) - budget) for m in range(1 << len(lengths)))
+        if budget <= 2 * max(lengths):  # all goes through the program
+            assert abs(words(lengths, [1] * len(lengths), budget) - budget) == best
