@@ -1,8 +1,9 @@
 """Scoring documents by masked pseudo-likelihood.
 
 A small window network predicts every token from the two tokens on either side, itself unseen. The sum of the
-tokens' conditional log-probabilities scores a document. The vocabulary comes from the word counts of the whole
-corpus, and every document is trained on: each task trains its own copy of the network, from the same start, over
+tokens' conditional log-probabilities scores a document. The vocabulary is all words of the corpus: the network
+predicts the most frequent ones themselves and of the others a bucket, and a word has its share of the bucket's tokens
+in the whole corpus. Shares of rare words are joined in by a shuffle, however many there are. Every document is trained on: each task trains its own copy of the network, from the same start, over
 its documents, and the copies are averaged by their tokens.
 """
 
@@ -33,6 +34,8 @@ WARM_UP_ROWS = 400
 COUNTED_WORDS = 200_000
 #: Words whose ids a task keeps.
 KEPT_WORDS = 400_000
+#: Words of buckets, the most frequent ones, whose shares the tasks hold; those of all further words are joined in.
+HELD_SHARES = 100_000
 
 
 class Network:
@@ -157,8 +160,8 @@ def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.stack([line[at + k] for k in WINDOW]), line[at], own
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """The most frequent words of all documents (column text), A-Z lower-cased; ties by the word."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n: how often each word stands in all documents (column text), A-Z lower-cased."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
@@ -170,10 +173,31 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
                 seen.clear()
         yield _counts(seen)
 
-    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """The most frequent words of all documents (column text), A-Z lower-cased; ties by the word."""
+    return _vocabulary(word_counts(docs))
+
+
+def _vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary([r.word for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS).collect()])
 
 
+def shares(counts: DataFrame, vocab: Vocabulary) -> tuple[dict[str, float], DataFrame]:
+    """log p(word | bucket) of the words outside the vocabulary: the HELD_SHARES most frequent, and a table (word, share) of the others."""
+    kept = counts.sparkSession.createDataFrame([(w,) for w in vocab.frequent], "word string")
+    rest = counts.join(F.broadcast(kept), "word", "left_anti").withColumn("bucket", F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS)).cast("int"))
+    sums = rest.groupBy("bucket").agg(F.sum("n").alias("total"))
+    rest = written(rest.join(F.broadcast(sums), "bucket").select("word", "n", F.log(F.col("n") / F.col("total")).alias("share")), "shares")
+    top = rest.orderBy(F.desc("n"), "word").limit(HELD_SHARES).collect()
+    if len(top) < HELD_SHARES:
+        return {r.word: r.share for r in top}, rest.where("false").select("word", "share")
+    n, word = top[-1].n, top[-1].word
+    return {r.word: r.share for r in top}, rest.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word)).select("word", "share")
+
+
 def _counts(seen: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
@@ -234,20 +258,34 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     each. Empty table: no rows. Extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    vocab = vocabulary(rows)
+    counts = written(word_counts(rows), "counts")
+    vocab = _vocabulary(counts)
     network = train(rows, vocab)
+    held, further = shares(counts, vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids = [vocab(t) for t in batch[1].to_pylist()]
-            total = np.zeros(len(ids))
+            texts = batch[1].to_pylist()
+            ids = [vocab(t) for t in texts]
+            total, rare = np.zeros(len(ids)), []
             for s in range(0, len(ids), 32):
                 context, target, own = windows(ids[s : s + 32])
                 for at in range(0, len(target), 1 << 15):
                     lp = network.log_probability(context[:, at : at + (1 << 15)], target[at : at + (1 << 15)])
                     total[s : s + 32] += np.bincount(own[at : at + (1 << 15)], lp.astype(float), min(32, len(ids) - s))
+            for k, t in enumerate(texts):
+                others = np.flatnonzero(ids[k] >= VOCABULARY - BUCKETS).tolist()
+                ws = words(t, fold=True) if others else []
+                found = [held.get(ws[i]) for i in others]
+                total[k] += sum(x for x in found if x is not None)
+                rare.append([ws[i] for i, x in zip(others, found, strict=True) if x is None])
             n = np.array([len(d) for d in ids])
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(n, pa.int64()), pa.array(total), mean], names=["doc_id", "tokens", "log_likelihood", "per_token"])
-
-    return rows.mapInArrow(run, "doc_id long, tokens long, log_likelihood double, per_token double")
+            columns = [batch[0], pa.array(n, pa.int64()), pa.array(total), pa.array(rare, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tokens", "total", "rare"])
+
+    scored = rows.mapInArrow(run, "doc_id long, tokens long, total double, rare array<string>")
+    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
+    parts = scored.select("row", F.explode("rare").alias("word")).join(further, "word").groupBy("row").agg(F.sum("share").alias("share"))
+    total = F.col("total") + F.coalesce("share", F.lit(0.0))
+    out = scored.drop("rare").join(parts, "row", "left").select("doc_id", "tokens", total.alias("log_likelihood"))
+    return out.withColumn("per_token", F.when(F.col("tokens") > 0, F.col("log_likelihood") / F.col("tokens")))

@@ -64,3 +64,31 @@ def test_odd_rows(odd_docs, no_docs):
         assert (r.per_token is None) == (r.tokens == 0) and np.isfinite(r.log_likelihood)
     assert {r.tokens for r in rows if r.doc_id in (2, 3, 4)} == {0}
     assert lm.pseudo_likelihood(no_docs).count() == 0
+
+
+def test_rare_words_have_their_own_probability(spark, monkeypatch):
+    """Words outside the network's own: those of a bucket add up to one, by their counts, held in tasks or joined in."""
+    texts = [" ".join(f"f{i}" for i in range(lm.VOCABULARY - lm.BUCKETS)) + " "] * 3
+    rare = [f"r{i}" for i in range(400)]
+    extra = [" ".join(rare), "r0 r0 r1"]  # r0 three times, r1 twice, the others once
+    docs = spark.createDataFrame([*((i, t * 2) for i, t in enumerate(texts)), (3, extra[0]), (4, extra[1]), (4, extra[1])], "doc_id long, text string")
+    counts = lm.word_counts(docs)
+    vocab = lm._vocabulary(counts)
+    assert all(w.startswith("f") for w in vocab.frequent)
+    n = {w: 1 for w in rare} | {"r0": 5, "r1": 3}
+    total = {}
+    for w in rare:
+        total[vocab(w)[0]] = total.get(vocab(w)[0], 0) + n[w]
+    want = {w: np.log(n[w] / total[vocab(w)[0]]) for w in rare}
+    scores = []
+    for size in (100_000, 50):
+        monkeypatch.setattr(lm, "HELD_SHARES", size)
+        held, further = lm.shares(counts, vocab)
+        got = held | {r.word: r.share for r in further.collect()}
+        assert len(held) == min(size, 400) and got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+        scores.append(sorted((r.doc_id, r.tokens, r.log_likelihood) for r in lm.pseudo_likelihood(docs).collect()))
+    assert np.allclose(scores[0], scores[1]) and len(scores[0]) == 6
+    net = lm.train(docs, vocab)
+    for d, t in ((3, extra[0]), (4, extra[1])):
+        alone = net.log_probability(*lm.windows([vocab(t)])[:2]).sum()
+        assert abs(scores[0][d][2] - alone - sum(want[w] for w in t.split())) < 0.02 * abs(alone)
