@@ -121,3 +121,11 @@ def test_links_are_exact_on_both_sides_of_the_threshold(spark):
     assert left >= set(range(0, 600, 2))
     gone = sum(k not in left for k in range(1, 600, 2))
     assert gone >= 0.97 * 300  # of pairs at exactly 0.8, proposed with probability 0.99
+
+
+def test_repeated_lines_count_once(spark):
+    line = " ".join(f"line{i}" for i in range(12))
+    own = [" ".join(f"own{d}x{i}" for i in range(150)) for d in range(3)]
+    rows = [(0, f"{line} " * 400 + own[0]), (1, f"{line} " * 400 + own[1]), (2, f"{own[2]} " + f"{line} " * 2), (3, f"{own[2]} " + f"{line} " * 300)]
+    left = {r.doc_id for r in deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left == {0, 1, 2}
