@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows up to which a table that was counted is broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a temporary one, and only if all executors are in this process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         keep = tempfile.TemporaryDirectory(prefix="quillspan-")
         atexit.register(keep.cleanup)
         root = f"file://{keep.name}"
@@ -27,8 +35,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table or archive, where every executor can read it."""
-    return f"{shared_root(spark)}/quillspan-{name}-{uuid.uuid4().hex}"
+    """A fresh path for a table or archive, where every executor can read it, in one folder for each application."""
+    return f"{shared_root(spark)}/quillspan-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,7 +48,61 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["written_to"] = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables of `written` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.__dict__["written_to"])
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A mapInArrow function after which the worker, which Spark keeps for later tasks, gives freed memory back to the system."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def matching(keep: Callable[[list], np.ndarray], rows: int = 256):
+    """A function of a column of texts, from one of lists of texts to booleans. Few texts are decoded at once."""
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("boolean")
+    def match(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for column in texts:
+                parts = [np.asarray(keep(column.slice(at, rows).to_pylist()), bool) for at in range(0, len(column), rows)]
+                yield pa.array(np.concatenate([np.empty(0, bool), *parts]))
+        finally:
+            give_back()
+
+    return match
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to trim
 
 
 def words(text: str | None, fold: bool = False) -> list[str]:
@@ -68,12 +130,24 @@ def ceil_div(a: int, b: int) -> int:
 
 
 def frombuffers(column: pa.Array, dtype, width: int) -> np.ndarray:
-    """Equal-width binary values as a matrix with a row for each."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(len(column), width)
+    """Binary values of `width` bytes each, none null, as a matrix with a row for each, without a copy."""
+    n = len(column)
+    if not n:
+        return np.empty((0, width // np.dtype(dtype).itemsize), dtype)
+    _, offsets, data = column.buffers()
+    start = int(np.frombuffer(offsets, np.int32)[column.offset])
+    return np.frombuffer(data, np.uint8)[start : start + n * width].view(dtype).reshape(n, -1)
+
+
+def binaries(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    raw = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
+    offsets = np.arange(len(raw) + 1, dtype=np.int32) * np.int32(raw.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
 
 
-def summed(vectors: DataFrame, length: int, chunk: int = 4096) -> np.ndarray | None:
-    """The sum of the vectors of doubles in the column v (binary), each of `length`; None if there are none.
+def summed(vectors: DataFrame, length: int, chunk: int = 4096, dtype=np.float64) -> np.ndarray | None:
+    """The sum, in doubles, of the vectors of dtype in the column v (binary), each of `length`; None if there are none.
 
     The vectors are cut to pieces, and each piece is summed as it streams through the task that has its number:
     no task holds more than its pieces of one vector, however many vectors there are.
@@ -83,14 +157,14 @@ def summed(vectors: DataFrame, length: int, chunk: int = 4096) -> np.ndarray | N
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for v in batch[0].to_pylist():
-                x = np.frombuffer(v, np.float64)
+                x = np.frombuffer(v, dtype)
                 yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([x[k * chunk : (k + 1) * chunk].tobytes() for k in range(pieces)], pa.binary())], names=["k", "v"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, v in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                total[k] = total.get(k, 0.0) + np.frombuffer(v, np.float64)
+                total[k] = total.get(k, 0.0) + np.frombuffer(v, dtype).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "v"])
 
     schema = "k int, v binary"

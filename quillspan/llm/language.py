@@ -11,12 +11,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, summed
+from .common import matching, released, slices, summed
 from .features import char_ngrams, has_letter
 
 #: Hashed n-grams: 2 to the power of this.
@@ -122,6 +121,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     Each task counts its documents in one vector.
     """
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros((1 << BITS) + 1)
         for batch in slices(batches):
@@ -152,8 +152,9 @@ def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     number = F.create_map(*[x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))])
     sample = own.where(h < share[F.col("lang")]).select("doc_id", "text", number[F.col("lang")].alias("y"), (fold(F.col("doc_id")) == 1).alias("calibrate")).limit(2 * most_rows + len(languages))
 
+    @released
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             xs = [counted(t, idf) for t in batch[1].to_pylist()]
             cols = [batch[0], batch[2], batch[3], pa.array([i.astype(np.int32).tobytes() for i, _ in xs], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in xs], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "y", "calibrate", "i", "x"])
@@ -177,6 +178,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     out, and not learned from. Repeated rows each have a row.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             names, scores = model.predict(batch[2].to_pylist())
@@ -192,12 +194,15 @@ def language(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, whose language is found with a score of at least `least`."""
+    """The rows of docs, all columns, whose language is found with a score of at least `least`.
+
+    Null and empty texts, and those without a letter, go; very long texts are looked at whole. Ties and repeated rows
+    are decided alike. Empty table: no rows; if nothing can be learned, all rows go. Columns of any name stay.
+    """
     model = fit(docs)
 
-    @F.pandas_udf("boolean")
-    def keep(text: pd.Series) -> pd.Series:
-        names, scores = model.predict(text.tolist())
-        return pd.Series([n != UNDETERMINED and s >= least for n, s in zip(names, scores, strict=True)], dtype=bool)
+    def keep(texts: list[str | None]) -> np.ndarray:
+        names, scores = model.predict(texts)
+        return (np.array(names, object) != UNDETERMINED) & (scores >= least)
 
-    return docs.where(keep(F.col("text").cast("string")))
+    return docs.where(matching(keep)(F.col("text").cast("string")))

@@ -187,10 +187,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, all columns, each as often as the mix takes it.
 
-    Of rows alike in doc_id, text and source, each is given as often as the most taken of them.
+    Of rows alike in doc_id, text and source, each is given as often as the most taken of them. Null, empty and very
+    long texts, ties and an empty table: as `mix` has it. Columns of any name stay.
     """
-    chosen = mix(docs, **how).groupBy("doc_id", "th", "source").agg(F.max("copies").cast("int").alias("__copies")).where("__copies > 0")
-    chosen = chosen.withColumnsRenamed({"doc_id": "__id", "th": "__th", "source": "__source"})
-    rows = docs.withColumn("__t", F.xxhash64("text"))
-    on = rows.doc_id.cast("long").eqNullSafe(chosen["__id"]) & (rows["__t"] == chosen["__th"]) & rows.source.cast("string").eqNullSafe(chosen["__source"])
-    return rows.join(chosen, on).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    chosen = mix(docs, **how).groupBy("doc_id", "th", "source").agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("source").cast("string").alias("source")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
+    on = rows.doc_id.eqNullSafe(chosen.doc_id) & (rows.th == chosen.th) & rows.source.eqNullSafe(chosen.source)
+    return rows.join(chosen, on).select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select("row.*")

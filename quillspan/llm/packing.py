@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ceil_div, slices, written
+from .common import ceil_div, released, slices, written
 
 CAPACITY = 4096
 #: Open bins of a packing task. More bins pack tighter and take more memory.
@@ -86,6 +86,10 @@ class Ids:
                 out.append(self._word(p) if ids is None else ids)
             return b"".join(out)
 
+    def clear(self) -> None:
+        self.words.clear()
+        self.pieces.clear()
+
 
 def _byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte: printable Latin-1 as it is, the rest from U+0100 on."""
@@ -97,7 +101,7 @@ def _byte_letters() -> list[str]:
     return out
 
 
-_worker_ids: dict[str, Ids] = {}  # kept between the tasks of a Python worker
+_worker_ids: dict[str, Ids] = {}  # kept between the tasks of a Python worker, but for the caches
 
 
 def worker_ids(path: str) -> Ids:
@@ -112,20 +116,24 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
     A null or empty text is the end id alone. Repeated rows are packed as often as they stand there.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = worker_ids(tokenizer)
         end, step = END_ID.to_bytes(4, "little"), 4 * capacity
-        for batch in slices(batches):
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                data = ids(text) + end
-                for k, at in enumerate(range(0, len(data), step)):
-                    part = data[at : at + step]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        try:
+            for batch in slices(batches):
+                rows: list[tuple] = []
+                for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+                    data = ids(text) + end
+                    for k, at in enumerate(range(0, len(data), step)):
+                        part = data[at : at + step]
+                        rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
+        finally:
+            ids.clear()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _PIECES)
 
@@ -147,13 +155,13 @@ class OpenBins:
         return bin_
 
     def put(self, length: int) -> tuple[int, int]:
-        """The bin and the offset in it for a piece of this length."""
+        """The bin and the offset in it for a piece of this length. A piece of a bin's whole size needs no open bin."""
         fits = self.bits >> length
         if fits:
             free = length + (fits & -fits).bit_length() - 1
             bin_ = self._take(free)
         else:
-            if self.open == self.most:  # the fullest closes
+            if self.open == self.most and length < self.capacity:  # the fullest closes
                 self._take((self.bits & -self.bits).bit_length() - 1)
             bin_, free = self.made, self.capacity
             self.made += 1
@@ -177,6 +185,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     dealt = F.xxhash64("doc_id", "piece", "ids_crc32", "length")
     keyed = pieces.withColumn("__h", dealt).withColumn("__task", F.pmod("__h", F.lit(tasks)))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins: dict[int, OpenBins] = {}
         for batch in batches:
@@ -204,6 +213,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, op
     """Packs all documents; one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null doc_id: packed like any other. Null or empty text: the end id alone. Empty table: no rows. Extra
-    columns are ignored. Repeated rows: each is packed.
+    columns are ignored. Very long texts are cut to full pieces and one last piece. Ties and repeated rows: each is packed.
     """
     return pack(token_pieces(docs, tokenizer, capacity), capacity, open_bins)

@@ -1,11 +1,12 @@
 """Near-duplicate detection on SimHash fingerprints.
 
 A fingerprint is cut to bytes, each with its position. A pair within k differing bits over B bytes shares at
-least B - k positional bytes, so it meets in the posting list of some B - k of them: the inverted index keys
-its lists by that many positional bytes, which keeps them short at any size of corpus. In a list the shared
-bytes of a pair are tallied, pairs below the guaranteed count go, and the rest are verified on all bits.
-Only a spanning forest of the links leaves a task, never the pairs of a group. Equal fingerprints are one
-entry of the index, so groups of exact copies cost nothing.
+least B - k positional bytes. The inverted index has posting lists by sets of a few positional bytes, so few sets that
+every choice of B - k positions holds one of them: no pair is lost, and lists stay short at any size of corpus. In a
+list, the positional bytes that a pair shares are tallied; pairs that reach the guaranteed number are verified on all
+bits. Lists of very many fingerprints are found by a count beforehand and dealt to finer ones, at last to cells of two
+blocks each, so none is held whole by a task. Only a spanning forest of the links leaves a task, never the pairs of a
+group. Equal fingerprints are one entry of the index, so groups of exact copies cost nothing.
 
 For word-shingle similarity (`similar_groups`) the fingerprint, of the distinct shingles, is wider than any useful
 guarantee allows; there the lists are keyed by as many sampled sets of positional bytes as a wanted recall asks for,
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,17 +27,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ceil_div, slices, words, written
+from .common import ceil_div, drop, frombuffers, released, slices, small, words, written
 
 SEED = 42
-#: Index entries of a task: with 8-byte fingerprints some 20 MB.
+#: Index entries of a task, of some 50 bytes each.
 ENTRIES_PER_TASK = 1_000_000
+#: Fingerprints whose list sizes are counted at once.
+COUNTED = 200_000
+#: Entries of a list that one task takes; longer lists are dealt to finer ones. Lists of up to twice that may stay.
+LIST_ENTRIES = 1 << 14
+#: Entries up to which lists are compared many at a time, by the distance of entries in the sorted batch.
+SHORT_LIST = 48
+#: Links that a task gathers before it hands them on.
+KEPT_LINKS = 200_000
 #: Shingles that are hashed at once; longer texts go through in blocks.
 BLOCK = 1 << 20
 #: Distinct shingles up to which a text also meets others by shingles: the bits of so few are too coarse for the model.
 SHORT = 32
 #: The share of differing bits of the least favourable pair of sets at 0.8: four shingles, and the same four with a fifth.
 LEAST_FAVOURABLE = 3 / 16
+#: 64-bit words of a wide fingerprint that its index entries carry.
+CARRIED = 3
 _LANES = np.uint64(0x0101010101010101)
 _SHIFTS = np.arange(8, dtype=np.uint64)
 #: Fixed odd multipliers that derive the further 64-bit words of wide fingerprints.
@@ -64,12 +75,14 @@ def shingle_hashes(ws: list[str], n: int) -> Iterator[np.ndarray]:
 
 
 def _ones(h: np.ndarray) -> np.ndarray:
-    """How often each of the 64 bits is set, least significant first. Counts in byte lanes, at most 255 rows to a lane."""
-    edges = np.arange(0, len(h), 255)
-    out = np.empty(64, np.int64)
+    """How often each of the 64 bits of each column is set, least significant first. Counts in byte lanes, at most 255 rows to a lane."""
+    n, k = h.shape
+    full = n - n % 255
+    out = np.empty((k, 64), np.int64)
     for s in range(8):
-        lanes = np.add.reduceat((h >> _SHIFTS[s]) & _LANES, edges)
-        out[s::8] = lanes.view(np.uint8).reshape(-1, 8).sum(0, dtype=np.int64)
+        lanes = (h >> _SHIFTS[s]) & _LANES
+        sums = np.concatenate([lanes[:full].reshape(-1, 255, k).sum(1), lanes[full:].sum(0, keepdims=True)])
+        out[:, s::8] = sums.view(np.uint8).reshape(len(sums), k, 8).sum(0, dtype=np.int64)
     return out
 
 
@@ -87,14 +100,15 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
 def _sketch(hashes: Iterable[np.ndarray], width: int) -> bytes:
     k = width // 64
     ones, total = np.zeros((k, 64), np.int64), 0
-    for h in hashes:
-        total += len(h)
-        for i in range(k):
-            if i:
-                d = (h ^ (h >> np.uint64(29))) * np.uint64(_MULTIPLIERS[i])
-                ones[i] += _ones(d ^ (d >> np.uint64(32)))
-            else:
-                ones[i] += _ones(h)
+    further = np.array(_MULTIPLIERS[1:k], np.uint64)
+    for block in hashes:
+        for at in range(0, len(block), 1 << 14):
+            h = block[at : at + (1 << 14), None]
+            total += len(h)
+            if k > 1:
+                d = (h ^ (h >> np.uint64(29))) * further
+                h = np.concatenate([h, d ^ (d >> np.uint64(32))], 1)
+            ones += _ones(h)
     bits = (2 * ones > total)[:, ::-1] if total else np.zeros((k, 64), bool)
     return np.packbits(bits.reshape(-1)).tobytes()
 
@@ -102,6 +116,7 @@ def _sketch(hashes: Iterable[np.ndarray], width: int) -> bytes:
 def fingerprints(docs: DataFrame, n: int = 4, width: int = 64) -> DataFrame:
     """doc_id, th (a hash of the text, to tell rows with equal doc_id apart) and fp of every row."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = [fingerprint(t, n, width) for t in batch[2].to_pylist()]
@@ -111,157 +126,376 @@ def fingerprints(docs: DataFrame, n: int = 4, width: int = 64) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, th long, fp binary")
 
 
-def _forest(fps: np.ndarray, most_bits: int, links: dict[int, int], ids: np.ndarray, least_bytes: int) -> None:
-    """Joins, in `links`, the members of one posting list that are within most_bits. fps: rows of 64-bit words, big-endian bytes."""
+def shared_bytes(x: np.ndarray) -> np.ndarray:
+    """The tally of positional bytes that two fingerprints share, for rows of 64-bit words of their XOR."""
+    x = x | x >> np.uint64(4)
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return 8 * x.shape[1] - np.bitwise_count(x & _LANES).sum(1, dtype=np.int32)
 
-    def root(x: int) -> int:
-        while links.setdefault(x, x) != x:
-            links[x] = links[links[x]]
-            x = links[x]
+
+class Filter:
+    """What makes a pair a link: the tally of shared positional bytes reaches the guaranteed count, then the bits are verified."""
+
+    def __init__(self, most_bits: int, least_bytes: int):
+        self.most_bits, self.least_bytes = most_bits, least_bytes
+        self.rejected = self.verified = 0
+
+    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of XORs that are links, and how many bits differ in them."""
+        at = np.flatnonzero(shared_bytes(x) >= self.least_bytes) if self.least_bytes else np.arange(len(x))
+        self.rejected += len(x) - len(at)
+        self.verified += len(at)
+        bits = np.bitwise_count(x[at]).sum(1, dtype=np.int32)
+        near = bits <= self.most_bits
+        return at[near], bits[near]
+
+
+class Forest:
+    """A spanning forest of links between nodes, any hashable values."""
+
+    def __init__(self) -> None:
+        self.up: dict = {}
+
+    def root(self, x):
+        up = self.up
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
         return x
 
-    m = len(fps)
-    width = fps.shape[1] * 8
-    for at in range(m - 1):
-        a, rest = fps[at], fps[at + 1 :]
-        x = rest ^ a
-        near = np.bitwise_count(x).sum(1, dtype=np.int32) <= most_bits
-        if not near.any():
-            continue
-        hits = np.flatnonzero(near)
-        if least_bytes:  # count filter on the shared positional bytes
-            shared = (x[hits].view(np.uint8).reshape(len(hits), width) == 0).sum(1)
-            hits = hits[shared >= least_bytes]
-        for j in hits.tolist():
-            p, q = root(int(ids[at])), root(int(ids[at + 1 + j]))
-            if p != q:
-                links[max(p, q)] = min(p, q)
-
-
-def _pivot_forest(fps: np.ndarray, most_bits: int, links: dict[int, int], ids: np.ndarray, least_bytes: int) -> None:
-    """As _forest, for long lists: members close to a pivot are joined to it at once, and only groups whose pivots are
-    within three times the distance (the triangle inequality) are compared further."""
-    left, groups = np.arange(len(fps)), []
+    def join(self, a, b) -> bool:
+        """Whether this link was needed."""
+        p, q = self.root(a), self.root(b)
+        if p != q:
+            self.up[max(p, q)] = min(p, q)
+        return p != q
+
+
+def _spanning(fps: np.ndarray, keep: Filter, tiers: tuple[float, ...]) -> Iterator[tuple[int, int]]:
+    """Links that join the members of one list as all of its links would.
+
+    A member's links to members not yet reached are followed until no more are found, so that a large group costs few
+    comparisons. tiers: shares of the most differing bits; close links are followed first, wider ones only join what
+    close ones leave apart.
+    """
+    label = np.arange(len(fps))
+    for k, share in enumerate(tiers):
+        own = keep if share == 1 else Filter(int(keep.most_bits * share), keep.least_bytes)
+        open_ = np.arange(len(fps))
+        while len(open_) > 1:
+            front, open_ = [int(open_[0])], open_[1:]
+            while front and len(open_):
+                a = front.pop()
+                hits, _ = own(fps[open_] ^ fps[a])
+                if k:
+                    for j in open_[hits].tolist():
+                        if label[j] != label[a]:
+                            yield a, j
+                            label[label == label[j]] = label[a]
+                    hits = np.union1d(hits, np.flatnonzero(label[open_] == label[a]))  # a group by closer links is reached together
+                else:
+                    yield from ((a, j) for j in open_[hits].tolist())
+                    label[open_[hits]] = label[a]
+                front.extend(open_[hits].tolist())
+                open_ = np.delete(open_, hits)
+
+
+def _near_in_batch(key: np.ndarray, fps: np.ndarray, keep: Filter) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All links, with their differing bits, in lists of up to SHORT_LIST entries; rows are sorted by key."""
+    for d in range(1, SHORT_LIST):
+        at = np.flatnonzero(key[d:] == key[:-d])
+        if not len(at):
+            return
+        for s in range(0, len(at), 1 << 18):
+            i = at[s : s + (1 << 18)]
+            near, bits = keep(fps[i] ^ fps[i + d])
+            yield i[near], i[near] + d, bits
+
+
+def posting_sets(positions: int, shared: int, size: int) -> list[tuple[int, ...]]:
+    """Sets of `size` of the positions, so that every choice of `shared` positions holds one of them. Chosen greedily."""
+    if size >= shared:
+        return list(combinations(range(positions), shared))
+    mask = lambda c: sum(1 << i for i in c)
+    left = np.array([mask(c) for c in combinations(range(positions), shared)], np.int64)
+    sets = [(mask(c), c) for c in combinations(range(positions), size)]
+    out = []
     while len(left):
-        d = np.bitwise_count(fps[left] ^ fps[left[0]]).sum(1, dtype=np.int32)
-        groups.append(left[d <= most_bits])
-        left = left[d > most_bits]
-    for g in groups:
-        a = int(ids[g[0]])
-        for j in g.tolist():
-            p, q = _root(links, a), _root(links, int(ids[j]))
-            if p != q:
-                links[max(p, q)] = min(p, q)
-    pivots = fps[[g[0] for g in groups]]
-    for i, g in enumerate(groups):
-        d = np.bitwise_count(pivots[i + 1 :] ^ pivots[i]).sum(1, dtype=np.int32)
-        for j in (np.flatnonzero(d <= 3 * most_bits) + i + 1).tolist():
-            o = groups[j]
-            if _root(links, int(ids[g[0]])) == _root(links, int(ids[o[0]])):
-                continue
-            for x in g.tolist():
-                if (np.bitwise_count(fps[o] ^ fps[x]).sum(1, dtype=np.int32) <= most_bits).any():
-                    p, q = _root(links, int(ids[g[0]])), _root(links, int(ids[o[0]]))
-                    links[max(p, q)] = min(p, q)
-                    break
-
-
-def _root(links: dict[int, int], x: int) -> int:
-    while links.setdefault(x, x) != x:
-        links[x] = links[links[x]]
-        x = links[x]
-    return x
-
-
-def links_of(distinct: DataFrame, positions: list[tuple[int, ...]], most_bits: int, width: int, least_bytes: int) -> DataFrame:
-    """a, b: a spanning forest of the links among distinct fingerprints (column fp), task by task.
-
-    positions: the sets of byte positions that key the posting lists. A column `more` (binary) may name further
-    lists of a fingerprint, as 64-bit numbers.
+        _, (m, best) = max(((int(((left & m) == m).sum()), (m, c)) for m, c in sets), key=lambda x: x[0])
+        out.append(best)
+        left = left[(left & m) != m]
+    return out
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit mixture of each number."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _set_keys(raw: np.ndarray, k: int, positions: tuple[int, ...]) -> np.ndarray:
+    """List keys of fingerprints (rows of bytes) by set number k; the number stands above 32 bits of bytes."""
+    key = np.full(len(raw), k, np.int64)
+    for c in positions:
+        key = key << 8 | raw[:, c]
+    return key << 8 * (4 - len(positions))
+
+
+Deal = Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def finer_lists(sets: list[tuple[int, ...]], n: int, most_bits: int) -> list[Deal]:
+    """How lists of too many fingerprints of n bytes are dealt on without losing a pair: by a further byte, if the guarantee
+    has one more than the sets, and then by half bytes among what is left."""
+    guaranteed, out = n - most_bits, []
+
+    def by_byte(key: np.ndarray, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        number = key >> 32
+        for k in np.unique(number).tolist():
+            own = np.flatnonzero(number == k)
+            for c in set(range(n)) - set(sets[k]):
+                yield key[own] & 0xFFFFFF00 | raw[own, c] | (k * n + c) << 32, own
+
+    def by_halves(key: np.ndarray, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        number = key >> 32
+        for k in np.unique(number).tolist():
+            own = np.flatnonzero(number == k)
+            used = {*sets[k // n], k % n} if more else set(sets[k])
+            rest = sorted(set(range(n)) - used)
+            halves = np.concatenate([raw[own][:, rest] >> 4, raw[own][:, rest] & 15], 1).astype(np.uint64)
+            alike = halves.shape[1] - most_bits
+            for j, s in enumerate(posting_sets(halves.shape[1], alike, min(3, alike))):
+                bits = np.full(len(own), j, np.uint64)
+                for c in s:
+                    bits = bits << np.uint64(4) | halves[:, c]
+                yield (_mixed(key[own]) ^ _mixed(bits + np.uint64(1) << np.uint64(20))).view(np.int64), own
+
+    more = guaranteed > len(sets[0]) == 3
+    if more:
+        out.append(by_byte)
+    if 2 * (n - len(sets[0]) - more) > most_bits:
+        out.append(by_halves)
+    return out
+
+
+def _names(words_: int, named: bool) -> list[str]:
+    return [f"w{k}" for k in range(words_)] + ["id"] * named
+
+
+def _schema(names: list[str]) -> str:
+    return ", ".join(f"{c} long" for c in names)
+
+
+def _rows(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns], names=names)
+
+
+def _matrix(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.stack([batch[c].to_numpy().view(np.uint64) for c in names], 1)
+
+
+def _long_lists(batches_of: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], n: int) -> DataFrame:
+    """key, n: the lists of more than LIST_ENTRIES entries, or of some more than that. keys: the list keys of a batch, array by array.
+
+    Tasks count some COUNTED rows at a time and hand on only counts that could add up to a long list: with c such
+    parts, a list that is missed has less than LIST_ENTRIES + c entries beyond what was handed on.
     """
-    further = "more" in distinct.columns
-    sets = [list(p) for p in positions]
+    parts = ceil_div(n, COUNTED) + batches_of.rdd.getNumPartitions()
+    least = max(1, LIST_ENTRIES // parts)
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, max(1, 200_000 // len(sets))):
-            raw = np.frombuffer(b"".join(batch[0].to_pylist()), np.uint8).reshape(batch.num_rows, width // 8)
-            for k, p in enumerate(sets):
-                key = np.zeros(len(raw), np.int64)
-                for c in p:
-                    key = key << 8 | raw[:, c]
-                yield pa.RecordBatch.from_arrays([pa.array(key | k << 32), batch[0]], names=["key", "fp"])
-            if further:
-                keys = [np.frombuffer(b or b"", np.int64) for b in batch[1].to_pylist()]
-                own = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), batch[0].take(pa.array(own))], names=["key", "fp"])
+    @released
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links: dict[int, int] = {}
-        names: dict[int, bytes] = {}
-        number: dict[bytes, int] = {}
-        kept: list[tuple[np.ndarray, pa.Array]] = []
-
-        def close() -> None:
-            key = np.concatenate([k for k, _ in kept])
-            fp = np.frombuffer(b"".join(b for _, c in kept for b in c.to_pylist()), f"S{width // 8}").copy()
-            raw = fp.view(np.uint64).reshape(len(key), width // 64)
-            edges = np.flatnonzero(np.diff(key)) + 1
-            starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
-            for i in np.flatnonzero(ends - starts > 1).tolist():
-                s, e = int(starts[i]), int(ends[i])
-                x = raw[s:e]
-                if e - s <= 8 and not _any_near(x, most_bits):
-                    continue
-                ids = np.empty(e - s, np.int64)
-                for j in range(s, e):
-                    b = raw[j].tobytes()
-                    ids[j - s] = number.setdefault(b, len(number))
-                    names[ids[j - s]] = b
-                (_forest if e - s <= 512 else _pivot_forest)(x, most_bits, links, ids, least_bytes)
+        def close() -> Iterator[pa.RecordBatch]:
+            for key in keys(pa.Table.from_batches(held).combine_chunks().to_batches()[0]):
+                k, c = np.unique(key, return_counts=True)
+                yield _rows([k[c >= least], c[c >= least]], ["key", "n"])
+            held.clear()
 
         for batch in batches:
-            key = batch["key"].to_numpy()
-            if kept and len(kept) >= 16 and key[0] != kept[-1][0][-1]:  # rows come sorted by key
-                close()
-                kept.clear()
-            kept.append((key, batch["fp"]))
-        if kept:
-            close()
-        out = [(names[x], names[_root(links, x)]) for x in list(links) if _root(links, x) != x]
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
-
-    n = distinct.count()
-    tasks = max(1, ceil_div(n * len(sets), ENTRIES_PER_TASK))
-    return (
-        distinct.select("fp", *(["more"] if further else [])).mapInArrow(post, "key long, fp binary").repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(meet, "a binary, b binary")
-    )
-
-
-def _any_near(x: np.ndarray, most_bits: int) -> bool:
-    for at in range(len(x) - 1):
-        if (np.bitwise_count(x[at + 1 :] ^ x[at]).sum(1, dtype=np.int32) <= most_bits).any():
-            return True
-    return False
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= COUNTED:
+                yield from close()
+        if any(b.num_rows for b in held):
+            yield from close()
+
+    return batches_of.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > LIST_ENTRIES)
+
+
+def _meet(lists: DataFrame, n: int, names: list[str], keep: Filter, tiers: tuple[float, ...]) -> DataFrame:
+    """a, b: links between entries (key and names) that share a list, as forests, task by task. n: how many entries there are."""
+    words_ = [c for c in names if c != "id"]
+    node = len(names) - 1 if "id" in names else 0
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, out, held, size = Forest(), [], [], 0
+
+        def take() -> pa.RecordBatch:
+            links = np.array(out, np.uint64).reshape(-1, 2)
+            forest.up.clear()
+            out.clear()
+            return _rows([links[:, 0], links[:, 1]], ["a", "b"])
+
+        def link(ids: np.ndarray, i: Iterable[int], j: Iterable[int]) -> None:
+            for a, b in zip(ids[i].tolist(), ids[j].tolist(), strict=True):
+                if a != b and forest.join(a, b):
+                    out.append((a, b))
+
+        def close() -> Iterator[pa.RecordBatch]:
+            key = np.concatenate([b["key"].to_numpy() for b in held])
+            rows = np.concatenate([_matrix(b, names) for b in held])
+            held.clear()
+            fps, ids = np.ascontiguousarray(rows[:, : len(words_)]), rows[:, node]
+            edges = np.flatnonzero(np.diff(key)) + 1
+            starts = np.concatenate([[0], edges])
+            lengths = np.diff(np.concatenate([starts, [len(key)]]))
+            short = np.repeat(lengths <= SHORT_LIST, lengths)
+            at = np.flatnonzero(short)
+            found = list(_near_in_batch(key[at], fps[at], keep))
+            if found:
+                i, j, bits = (np.concatenate(x) for x in zip(*found, strict=True))
+                order = np.argsort(bits, kind="stable")
+                link(ids[at], i[order], j[order])
+            for k in np.flatnonzero(lengths > SHORT_LIST).tolist():
+                s, e = int(starts[k]), int(starts[k] + lengths[k])
+                for a, b in _spanning(fps[s:e], keep, tiers):
+                    link(ids[s:e], [a], [b])
+                if len(forest.up) > KEPT_LINKS:
+                    yield take()
+            if len(forest.up) > KEPT_LINKS:
+                yield take()
+
+        for b in batches:  # rows come sorted by key
+            if size >= 1 << 15:
+                same = int(np.searchsorted(b["key"].to_numpy(), held[-1]["key"][-1].as_py(), "right"))
+                held.append(b.slice(0, same))
+                size += same
+                b = b.slice(same)
+                if b.num_rows:
+                    yield from close()
+                    size = 0
+            if b.num_rows:
+                held.append(b)
+                size += b.num_rows
+        if size:
+            yield from close()
+        yield take()
+
+    tasks = max(1, ceil_div(n, ENTRIES_PER_TASK))
+    return lists.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def _in_cells(lists: DataFrame, long: DataFrame, names: list[str]) -> DataFrame:
+    """The entries of long lists (key, n) in cells of two blocks of some LIST_ENTRIES / 2 entries each: every two entries of a list share a cell."""
+    half = max(1, LIST_ENTRIES // 2)
+    rows = lists.join(small(long), "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(*names), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    # an entry meets its own block in the cell of that block alone
+    return rows.select(cell.alias("key"), *names)
+
+
+def links_of(nodes: DataFrame, sets: list[tuple[int, ...]], most_bits: int, least_bytes: int, width: int, words_: int, named: bool = False, finer: Iterable[Deal] = (), tiers: tuple[float, ...] = (1.0,)) -> DataFrame:
+    """a, b: a spanning forest of the links among fingerprints (column fp, binary), task by task.
+
+    sets: the positional bytes that key the posting lists. Entries carry the first words_ 64-bit words of a fingerprint;
+    most_bits and least_bytes are of these. a and b are the fingerprints as numbers if that is all of them, and the
+    column id of nodes if `named`. A column `more` (binary) may name further lists of a fingerprint, as 64-bit numbers.
+    """
+    further, names, size = "more" in nodes.columns, _names(words_, named), width // 8
+    source = nodes.select("fp", *(["id"] if named else []), *(["more"] if further else []))
+
+    def extra(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys = [np.frombuffer(b or b"", np.int64) for b in batch["more"].to_pylist()]
+        return np.concatenate(keys) if keys else np.empty(0, np.int64), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        raw = frombuffers(batch["fp"], np.uint8, size)
+        for k, p in enumerate(sets):
+            yield _set_keys(raw, k, p)
+        if further:
+            yield extra(batch)[0]
+
+    @released
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, max(1, 100_000 // len(sets))):
+            raw = frombuffers(batch["fp"], np.uint8, size)
+            columns = list(np.ascontiguousarray(raw).view(">u8")[:, :words_].astype(np.uint64).T)
+            if named:
+                columns.append(batch["id"].to_numpy())
+            for k, p in enumerate(sets):
+                yield _rows([_set_keys(raw, k, p), *columns], ["key", *names])
+            if further:
+                key, own = extra(batch)
+                yield _rows([key, *(c[own] for c in columns)], ["key", *names])
+
+    def dealt(deal: Deal) -> Callable[[Iterator], Iterator]:
+        @released
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 8192):
+                rows = _matrix(batch, names)
+                raw = np.ascontiguousarray(rows[:, :words_].astype(">u8")).view(np.uint8)
+                for key, own in deal(batch["key"].to_numpy(), raw):
+                    yield _rows([key, *rows[own].T], ["key", *names])
+
+        return run
+
+    n = nodes.count()
+    lists, long, entries = source.mapInArrow(post, _schema(["key", *names])), _long_lists(source, keys, n), n * len(sets)
+    keep, out = Filter(most_bits, least_bytes), None
+    for deal in (*finer, None):
+        long = written(long, "long-lists")
+        if not long.count():
+            break
+        named_long = small(long.select("key"))
+        met = _meet(lists.join(named_long, "key", "left_anti"), entries, names, keep, tiers)
+        out = met if out is None else out.unionAll(met)
+        rest = lists.join(named_long, "key", "left_semi")
+        if deal is None:
+            cells = _in_cells(rest, long, names)
+            spread = long.agg(F.sum(F.col("n") * F.ceil(F.col("n") / (LIST_ENTRIES // 2)))).first()[0]
+            return out.unionAll(_meet(cells, int(spread), names, keep, tiers))
+        lists = written(rest.mapInArrow(dealt(deal), _schema(["key", *names])), "finer-lists")
+        entries = lists.count()
+        long = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIST_ENTRIES)
+    met = _meet(lists, entries, names, keep, tiers)
+    return met if out is None else out.unionAll(met)
+
+
+def hamming_links(distinct: DataFrame, width: int = 64, most_bits: int = 4) -> DataFrame:
+    """a, b: a spanning forest of the links among distinct fingerprints (column fp), as numbers if they have 64 bits.
+
+    Exact: pairs within most_bits share at least as many positional bytes as the index guarantees.
+    """
+    n = width // 8
+    if width != 64 or not 0 < n - most_bits:
+        raise ValueError("needs fingerprints of 64 bits, and at most 7 differing bits")
+    sets = posting_sets(n, n - most_bits, min(3, n - most_bits))
+    return links_of(distinct, sets, most_bits, n - most_bits, width, width // 64, finer=finer_lists(sets, n, most_bits))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node of each node's component, for nodes with an edge (columns a, b).
+    """node, root: the smallest node of each node's component, for nodes with an edge (columns a, b) other than that smallest one.
 
-    Alternates large-star and small-star steps until the edges stand still; each step's edges are a table.
+    Alternates large-star and small-star steps until the edges stand still; each step's edges are a table, and the
+    one before it is deleted.
     """
-    edges = written(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"
-    )
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     mark = _mark(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(large, "edges")
+        large = written(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "edges")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
-        edges = written(small, "edges")
-        new = _mark(edges)
+        step = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
+        step = written(step, "edges")
+        drop(edges, large)
+        edges, new = step, _mark(step)
         if new == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = new
@@ -271,20 +505,13 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def guaranteed_positions(width: int, most_bits: int) -> list[tuple[int, ...]]:
-    """All sets of as many positional bytes as a pair within most_bits is sure to share."""
-    n = width // 8
-    if not 0 < n - most_bits <= 4:
-        raise ValueError("needs 1 to 4 guaranteed bytes")
-    return list(combinations(range(n), n - most_bits))
-
-
 def grouped(keys: DataFrame, edges: DataFrame) -> DataFrame:
     """keys (doc_id, th, fp) with component_id, the smallest doc_id of the fingerprint's component, and root, its fingerprint."""
     comp = written(components(edges), "components")
     least = keys.groupBy("fp").agg(F.min("doc_id").alias("least"))
     least = least.join(comp, least.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = written(least, "least")
+    drop(comp)
     best = least.groupBy("root").agg(F.min("least").alias("component_id"))
     named = least.select("fp", "root").join(best, "root")
     return keys.join(named, "fp")
@@ -294,18 +521,20 @@ def hamming_components(docs: DataFrame, n: int = 4, width: int = 64, most_bits:
     """doc_id, fingerprint (hex), component_id: documents linked, at any remove, by fingerprints within most_bits.
 
     Exact: no link is lost. Null or empty texts, and those without words, have the zero fingerprint and are linked
-    like any other. Null doc_id: has a row, and is passed over as a smallest doc_id unless its component has no other.
-    Repeated rows each have a row. Empty table: no rows. Extra columns are ignored.
+    like any other; very long texts are hashed whole, in blocks. Null doc_id: has a row, and is passed over as a
+    smallest doc_id unless its component has no other. Ties and repeated rows: equal fingerprints are one entry, each
+    row has a row. Empty table: no rows. Extra columns are ignored.
     """
-    keys = written(fingerprints(docs, n, width), "fingerprints")
-    edges = links_of(keys.select("fp").distinct(), guaranteed_positions(width, most_bits), most_bits, width, width // 8 - most_bits)
-    return grouped(keys, edges).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    keys = written(fingerprints(docs, n, width).withColumn("fp", F.conv(F.hex("fp"), 16, -10).cast("long")), "fingerprints")
+    distinct = written(keys.select("fp").distinct().select(F.unhex(F.lpad(F.hex("fp"), 16, "0")).alias("fp")), "distinct")
+    edges = hamming_links(distinct, width, most_bits)
+    return grouped(keys, edges).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def sampled_positions(rows: int, width: int, similarity: float, recall: float) -> list[tuple[int, ...]]:
-    """Sets of positional bytes for pairs of this Jaccard similarity: two bytes wide for up to a million distinct
-    fingerprints, three for up to 2^28, then four; as many as bring a pair together with probability `recall`."""
-    size = 2 if rows < 1 << 20 else 3 if rows < 1 << 28 else 4
+    """Sets of positional bytes for pairs of this Jaccard similarity: two bytes wide for up to 2^28 distinct fingerprints
+    (lists of some 4,096), three for up to 2^36, then four; as many as bring a pair together with probability `recall`."""
+    size = 2 if rows < 1 << 28 else 3 if rows < 1 << 36 else 4
     bytes_ = width // 8
     same = (1 - differing(similarity)) ** 8
     # sets share bytes, so a miss is reckoned for each number of bytes that the pair may share
@@ -341,15 +570,14 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 def _sets(docs: DataFrame, n: int, similarity: float, width: int) -> DataFrame:
     """doc_id, th, sid (names the shingle set), size, fp (of the set) and, for short texts, more: the hashes by which sets alike are sure to meet."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingle_set(t, n) for t in batch[2].to_pylist()]
-            columns = [
-                pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
-                pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([_sketch([x], width) for x in sets], pa.binary()),
-                pa.array([x[: _prefix(len(x), similarity)].tobytes() if len(x) <= SHORT else None for x in sets], pa.binary()),
-            ]
+            rows: list[tuple] = []
+            for t in batch[2].to_pylist():
+                x = shingle_set(t, n)
+                rows.append((hashlib.blake2b(x.tobytes(), digest_size=16).digest(), len(x), _sketch([x], width), x[: _prefix(len(x), similarity)].tobytes() if len(x) <= SHORT else None))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], *columns], names=["doc_id", "th", "sid", "size", "fp", "more"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
@@ -359,6 +587,7 @@ def _sets(docs: DataFrame, n: int, similarity: float, width: int) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of sids whose sets (sid, hashes) are alike."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [[np.frombuffer(x, np.uint64) for x in batch[k].to_pylist()] for k in (2, 3)]
@@ -369,95 +598,151 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(x, "a").join(y, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a binary, b binary")
 
 
-def _open_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    """a, b: the pairs of one root (sid, root, size, part, hashes) that may be alike and aren't yet in one part. None is
-    lost: sets alike share one of the first hashes of either."""
+def _most(width: int, p: float, slack: float) -> int:
+    """Differing bits up to which pairs pass that are expected to differ in a share p of them."""
+    return round(width * p + slack * math.sqrt(width * p * (1 - p)))
 
+
+def _open_pairs(sets: DataFrame, similarity: float, width: int, slack: float) -> DataFrame:
+    """a, b (ids): the pairs of one root that may be alike and aren't yet in one part; sets: id, root, size, part, fp, hashes.
+
+    Sets alike share one of the first hashes of either. Of two longer sets the bits of the whole fingerprints are
+    looked at as well, with `slack` standard deviations. Members of the largest part of a list are only compared with others.
+    """
+    most = _most(width, differing(similarity), slack)
+    names = ["root", "h", "id", "size", "part"]
+
+    @released
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            first = [np.frombuffer(x, np.int64)[: _prefix(len(x) // 8, similarity)] for x in batch[4].to_pylist()]
+            first = [np.frombuffer(x, np.int64)[: _prefix(len(x) // 8, similarity)] for x in batch["hashes"].to_pylist()]
             own = pa.array(np.repeat(np.arange(len(first)), [len(x) for x in first]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), *(batch[k].take(own) for k in range(4))], names=["h", "sid", "root", "size", "part"])
+            h = np.concatenate(first)
+            for at in range(0, len(h), 10_000):
+                o = own.slice(at, 10_000)
+                columns = [pa.array(h[at : at + 10_000]) if c == "h" else batch[c].take(o) for c in (*names, "fp")]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "fp"])
 
+    @released
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[bytes, bytes]] = []
-        key, members = None, []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            for i, (a, n, p) in enumerate(members):
-                for b, m, o in members[i + 1 :]:
-                    if p != o and min(n, m) >= similarity * max(n, m) - 1e-9:
-                        out.append((min(a, b), max(a, b)))
-                if len(out) > 50_000:
-                    yield take()
+        out: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def take() -> pa.RecordBatch:
-            found = list(dict.fromkeys(out))
+            pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *out]), axis=0)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+            return _rows([pairs[:, 0], pairs[:, 1]], ["a", "b"])
+
+        def close() -> Iterator[pa.RecordBatch]:
+            rows, fps = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            edges = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1
+            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+                if e - s < 2:
+                    continue
+                part, inverse, many = np.unique(rows[s:e, 4], return_inverse=True, return_counts=True)
+                if len(part) < 2:
+                    continue
+                order = np.argsort(many[inverse] * (len(part) + 1) + inverse, kind="stable") + s  # the largest part last
+                ids, size, code, f = rows[order, 2], rows[order, 3], inverse[order - s], fps[order]
+                for i in range(int((code != code[-1]).sum())):
+                    j = np.flatnonzero((code[i + 1 :] != code[i]) & (np.minimum(size[i + 1 :], size[i]) >= similarity * np.maximum(size[i + 1 :], size[i]) - 1e-9)) + i + 1
+                    bits = np.bitwise_count(f[j] ^ f[i]).sum(1, dtype=np.int32)
+                    j = j[(bits <= most) | (size[j] <= SHORT) | (size[i] <= SHORT)]
+                    out.append(np.sort(np.stack([np.full(len(j), ids[i]), ids[j]], 1), axis=1))
+                if sum(map(len, out)) > 200_000:
+                    yield take()
 
         for batch in batches:
-            for h, sid, root, n, p in zip(*(batch[k].to_pylist() for k in range(5)), strict=True):
-                if (root, h) != key:
-                    yield from close()
-                    key, members = (root, h), []
-                members.append((sid, n, p))
-        yield from close()
+            for b in slices([batch], 4096):
+                rows = np.stack([b[c].to_numpy() for c in names], 1)
+                fps = frombuffers(b["fp"], np.uint64, width // 8)
+                if sum(len(r) for r, _ in held) >= 4096:
+                    last = held[-1][0][-1]
+                    new = np.flatnonzero((rows[:, 0] != last[0]) | (rows[:, 1] != last[1]))
+                    cut = int(new[0]) if len(new) else len(rows)
+                    held.append((rows[:cut], fps[:cut].copy()))
+                    rows, fps = rows[cut:], fps[cut:]
+                    if len(rows):
+                        yield from close()
+                if len(rows):
+                    held.append((rows, fps.copy()))
+        if held:
+            yield from close()
         yield take()
 
-    lists = sets.select("sid", "root", "size", "part", "hashes").mapInArrow(post, "h long, sid binary, root binary, size long, part binary")
-    return lists.repartition("root", "h").sortWithinPartitions("root", "h").mapInArrow(meet, "a binary, b binary").distinct()
+    lists = sets.mapInArrow(post, f"{_schema(names)}, fp binary")
+    return lists.repartition("root", "h").sortWithinPartitions("root", "h").mapInArrow(meet, "a long, b long").distinct()
 
 
-def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width: int = 512, recall: float = 0.99, slack: float = 4.0) -> DataFrame:
+def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width: int = 1024, recall: float = 0.99, slack: float = 4.0) -> DataFrame:
     """keys (doc_id, th, fp, root, component_id) of groups that are alike: n-word shingles, a Jaccard similarity of `similarity` or more.
 
     fp names the shingle set. Fingerprints propose groups: a pair at exactly `similarity` meets with probability
-    `recall`, more similar ones more surely, and is proposed up to the bits that the least favourable pair of sets is
-    expected to differ in, plus `slack` standard deviations. Every link is then verified on the sets of both texts:
-    first the proposals' spanning forest, then all pairs of a proposed group that it leaves apart.
+    `recall`, more similar ones more surely, and is proposed if the words that the index carries differ in no more bits
+    than the least favourable pair of sets is expected to, plus `slack` standard deviations. Every link is then verified on
+    the sets of both texts: first the proposals' spanning forest, then all pairs of a proposed group that it leaves apart.
     """
     keys = written(_sets(docs, n, similarity, width), "sets")
-    nodes = written(keys.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("more").alias("more"), F.min(F.struct("doc_id", "th")).alias("row")), "nodes")
-    p = max(differing(similarity), LEAST_FAVOURABLE)
-    most = round(width * p + slack * math.sqrt(width * p * (1 - p)))
-    forest = written(links_of(nodes, sampled_positions(nodes.count(), width, similarity, recall), most, width, 0), "forest")
-    # proposed groups of more than one set, and the texts' sets
-    roots = components(forest)
-    least = nodes.groupBy("fp").agg(F.min("sid").alias("least"), F.count(F.lit(1)).alias("n"))
-    least = written(least.join(roots, least.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "proposed")
-    many = least.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
-    member = written(nodes.join(least.join(many, "root").select("fp", "root", "least"), "fp").select("sid", "size", "root", "least", "row.doc_id", "row.th"), "members")
-
+    short = F.conv(F.substring(F.hex("sid"), 1, 16), 16, -10).cast("long")
+    nodes = keys.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("more").alias("more"), F.min(F.struct("doc_id", "th")).alias("row"))
+    nodes = written(nodes.withColumn("id", short), "nodes")
+    names = written(keys.select("doc_id", "th", F.col("sid").alias("fp")), "names")
+    drop(keys)
+    most = _most(64 * CARRIED, max(differing(similarity), LEAST_FAVOURABLE), slack)
+    sets = sampled_positions(nodes.count(), width, similarity, recall)
+    forest = written(links_of(nodes, sets, most, 0, width, CARRIED, named=True, tiers=(0.35, 0.5, 0.7, 1.0)), "forest")
+    # proposed groups, and the texts' sets
+    roots = written(components(forest), "roots")
+    roots = roots.unionAll(roots.select("root", "root").distinct())
+    member = written(nodes.join(roots, nodes.id == roots.node).select("sid", "id", "size", "root", "fp", "row.doc_id", "row.th"), "members")
+    drop(nodes)
+
+    @released
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([*(batch[k] for k in range(3)), pa.array([shingle_set(t, n).tobytes() for t in batch[3].to_pylist()], pa.binary())], names=["sid", "root", "size", "hashes"])
-
-    text = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__th"), F.col("text").cast("string").alias("text"))
-    text = text.join(member, text["__id"].eqNullSafe(member.doc_id) & (text["__th"] == member.th)).select("sid", "root", "size", "text").dropDuplicates(["sid"])
-    sets = written(text.mapInArrow(hashes, "sid binary, root binary, size long, hashes binary"), "hashes")
-    ends = least.select("fp", "least")
-    tried = forest.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select("x", "y").unionAll(member.where("sid <> least").select("sid", "least"))
-    tried = tried.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    sure = written(_verified(tried, sets, similarity), "verified")
+            yield pa.RecordBatch.from_arrays([batch[0], pa.array([shingle_set(t, n).tobytes() for t in batch[1].to_pylist()], pa.binary())], names=["sid", "hashes"])
+
+    text = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
+    wanted = small(member.select("sid", "doc_id", "th"))
+    text = text.join(wanted, text.d.eqNullSafe(wanted.doc_id) & (text.t == wanted.th)).select("sid", "text")
+    # rows alike in doc_id and text give a set more than once
+    found = written(text.mapInArrow(hashes, "sid binary, hashes binary").dropDuplicates(["sid"]), "hashes")
+    ends = member.select("id", "sid")
+    tried = forest.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select("x", "y")
+    tried = written(tried.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "tried")
+    sure = written(_verified(tried, found, similarity), "verified")
     parts = components(sure)
-    left = sets.join(parts, sets.sid == parts.node, "left").select("sid", sets.root, "size", F.coalesce(parts.root, "sid").alias("part"), "hashes")
+    left = member.join(parts, member.sid == parts.node, "left").select("sid", "id", "size", "fp", member.root, F.xxhash64(F.coalesce(parts.root, "sid")).alias("part"))
     apart = left.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("root")
-    open_ = _open_pairs(left.join(apart, "root").select("sid", "root", "size", "part", "hashes"), similarity).join(tried, ["a", "b"], "left_anti")
-    more = written(_verified(open_, sets, similarity), "verified")
-    return grouped(keys.select("doc_id", "th", F.col("sid").alias("fp")), sure.unionAll(more))
+    left = left.join(apart, "root").join(found, "sid").select("id", "root", "size", "part", "fp", "hashes")
+    open_ = _open_pairs(left, similarity, width, slack).join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
+    open_ = open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).join(tried, ["a", "b"], "left_anti")
+    more = written(_verified(open_, found, similarity), "verified")
+    out = grouped(names, sure.unionAll(more))
+    drop(found, tried, forest, member)
+    return out
 
 
 def deduplicated(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, all columns, with one document of each group of `similar_groups`: that of the smallest doc_id.
 
-    Rows with a null doc_id stay only in groups without any other; of repeated rows one stays. Texts without words
-    are one group.
+    Null, empty and wordless texts are one group; very long texts are compared whole. Rows with a null doc_id stay only
+    in groups without any other. Ties: of different texts of a group that carry the smallest doc_id, that of the smallest
+    text hash stays; of rows alike in doc_id and text, one. Empty table: no rows. Extra columns, whatever their names, stay.
     """
     keys = similar_groups(docs, **how)
-    last = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("__id")
-    best = keys.select("doc_id", "th", "root", last).groupBy("root").agg(F.min("__id").alias("__id"))
-    # more than one text of a group may carry the smallest doc_id; the smallest text hash stays
-    won = keys.select("th", "root", last).join(best, ["root", "__id"]).groupBy("root", "__id").agg(F.min("th").alias("__th")).select("__id", "__th")
-    rows = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "__th": F.xxhash64("text")})
-    return rows.join(won, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"]).drop("__id", "__th")
+    last = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("last")
+    keys = written(keys.select("th", "root", last).distinct(), "grouped-keys")
+    best = keys.groupBy("root").agg(F.min(F.struct("last", "th")).alias("best"))
+    gone = written(keys.join(best, "root").where(F.struct("last", "th") != F.col("best")).select("last", "th").distinct(), "gone")
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("last"), F.xxhash64("text").alias("th")]
+    rows = docs.select(columns, *key).join(small(gone), ["last", "th"], "left_anti")
+    # rows alike in doc_id and text are few, if there are any: the others aren't dealt anew for their sake
+    again = written(docs.select(*key).groupBy("last", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("last", "th"), "again")
+    if again.count():
+        twice = small(again)
+        once = rows.join(twice, ["last", "th"], "left_semi").dropDuplicates(["last", "th"])
+        rows = rows.join(twice, ["last", "th"], "left_anti").unionByName(once)
+    return rows.select("row.*")

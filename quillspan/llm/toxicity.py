@@ -11,12 +11,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import matching, released, slices, written
 from .features import word_hashes
 
 #: Bounds of the training sample: confirmed toxic documents and unlabelled ones, chosen by a hash.
@@ -129,6 +128,7 @@ def fold(doc_id: Column) -> Column:
 def _features(rows: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
     """toxic, f: the features of each text, of those in `keep` (sorted) if that is given."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
@@ -184,8 +184,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     Null or empty text: the score of a text without words. Null doc_id: not held out. Repeated rows each have a row.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             s = model.scores(batch[2].to_pylist())
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -199,11 +200,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns, that score below the threshold."""
-    model = fit(docs, labels)
-
-    @F.pandas_udf("boolean")
-    def keep(text: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(text.tolist()) < threshold)
+    """The rows of docs, all columns, that score below the threshold.
 
-    return docs.where(keep(F.col("text").cast("string")))
+    Null, empty and wordless texts score as texts without words, and stay; very long texts are scored whole. Ties and
+    repeated rows are decided alike. Empty table: no rows. Without labels all rows stay. Columns of any name stay.
+    """
+    model = fit(docs, labels)
+    return docs.where(matching(lambda texts: model.scores(texts) < threshold)(F.col("text").cast("string")))

@@ -1,7 +1,8 @@
 import numpy as np
 import xxhash
 
-from quillspan.llm.simhash import deduplicated, fingerprint, hamming_components, links_of, guaranteed_positions, grouped, _forest, _pivot_forest, _root
+from quillspan.llm import simhash
+from quillspan.llm.simhash import Filter, Forest, deduplicated, fingerprint, grouped, hamming_components, hamming_links, posting_sets, shared_bytes
 
 
 def brute_fp(text, n=4):
@@ -62,23 +63,57 @@ def test_chains_of_fingerprints(spark):
             fps.append(x)
             for b in rng.choice(64, int(rng.integers(1, 7)), replace=False):
                 x ^= 1 << int(b)
-    keys = spark.createDataFrame([(i, 0, bytearray(f.to_bytes(8, "big"))) for i, f in enumerate(fps)], "doc_id long, th long, fp binary")
-    edges = links_of(keys.select("fp").distinct(), guaranteed_positions(64, 4), 4, 64, 4)
-    got = [r.component_id for r in grouped(keys, edges).orderBy("doc_id").collect()]
-    assert got == brute_components(list(range(len(fps))), fps)
+    assert linked(spark, fps) == brute_components(list(range(len(fps))), fps)
 
 
-def test_pivots_find_the_same_groups():
+def linked(spark, fps):
+    """The component of each fingerprint, by the index."""
+    signed = lambda f: int(np.uint64(f).astype(np.int64))
+    keys = spark.createDataFrame([(i, 0, signed(f)) for i, f in enumerate(fps)], "doc_id long, th long, fp long")
+    distinct = spark.createDataFrame([(bytearray(int(f).to_bytes(8, "big")),) for f in sorted(set(fps))], "fp binary")
+    return [r.component_id for r in grouped(keys, hamming_links(distinct)).orderBy("doc_id").collect()]
+
+
+def test_long_lists_are_dealt_on(spark, monkeypatch):
+    """Lists beyond what a task takes go by a further byte, by half bytes and at last in cells of two blocks; no link is lost."""
+    rng = np.random.default_rng(6)
+    fps = [int(x) << 8 for x in rng.integers(0, 2**20, 300)] + [int(x) for x in rng.integers(0, 2**63, 300)]
+    fps += [f ^ 1 << int(rng.integers(0, 64)) ^ 1 << int(rng.integers(0, 64)) for f in fps[::3]] + [1 << 40 | 1 << i for i in range(30)]
+    fps = list(dict.fromkeys(fps))
+    want = brute_components(list(range(len(fps))), fps)
+    for entries in (200, 20, 4):
+        monkeypatch.setattr(simhash, "LIST_ENTRIES", entries)
+        monkeypatch.setattr(simhash, "COUNTED", 64)
+        assert linked(spark, fps) == want
+
+
+def test_the_count_filter_rejects_pairs_before_verification():
+    """Pairs of a list share three bytes; those without a fourth never come to the bits."""
+    keep = Filter(4, 4)
+    x = np.array([0x0000000000FFFFFF, 0x0000000101010101, 0x0000000001010101, 0x0000000001010107, 0x0101010101010101], np.uint64)[:, None]
+    at, bits = keep(x)
+    assert at.tolist() == [1, 2] or at.tolist() == [2]
+    assert shared_bytes(x).tolist() == [5, 3, 4, 4, 0]
+    assert keep.rejected == 2 and keep.verified == 3 and at.tolist() == [2] and bits.tolist() == [4]
+
+
+def test_every_choice_of_guaranteed_bytes_holds_a_set():
+    from itertools import combinations
+
+    for n, shared, size in ((8, 4, 3), (8, 3, 3), (8, 5, 3), (8, 1, 1), (10, 6, 3)):
+        sets = posting_sets(n, shared, size)
+        assert all(any(set(s) <= set(c) for s in sets) for c in combinations(range(n), shared))
+
+
+def test_spanning_joins_what_all_links_join():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 3, dtype=np.uint64)
-    fps = np.unique(np.array([base[i % 3] ^ np.uint64(sum(1 << int(b) for b in rng.choice(20, 3, replace=False))) for i in range(700)]))[:, None]
-    ids = np.arange(len(fps))
-    a, b = {}, {}
-    _forest(fps, 3, a, ids, 0)
-    _pivot_forest(fps, 3, b, ids, 0)
-    group = lambda links: [_root(links, int(i)) for i in ids]
-    same = lambda g: {tuple(np.flatnonzero(np.array(g) == x)) for x in set(g)}
-    assert same(group(a)) == same(group(b))
+    fps = np.unique(np.array([base[i % 3] ^ np.uint64(sum(1 << int(b) for b in rng.choice(20, 3, replace=False))) for i in range(700)]))
+    want = brute_components(list(range(len(fps))), [int(f) for f in fps], 3)
+    for tiers in ((1.0,), (0.4, 0.7, 1.0)):
+        forest = Forest()
+        links = [forest.join(a, b) for a, b in simhash._spanning(fps[:, None], Filter(3, 0), tiers)]
+        assert all(links) and [forest.root(i) for i in range(len(fps))] == want
 
 
 def test_wide_fingerprint_starts_with_the_narrow_one():
