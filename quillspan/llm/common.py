@@ -68,11 +68,19 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hands rows to Python by the thousand, so that neither side holds more texts at once. Lasts for the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A mapInArrow function after which the worker, which Spark keeps for later tasks, gives freed memory back to the system."""
 
     @wraps(run)
     def wrapped(batches: Iterator) -> Iterator:
+        pa.set_memory_pool(pa.system_memory_pool())  # the one that can be trimmed
         try:
             yield from run(batches)
         finally:
@@ -87,6 +95,7 @@ def matching(keep: Callable[[list], np.ndarray], rows: int = 256):
 
     @arrow_udf("boolean")
     def match(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pa.set_memory_pool(pa.system_memory_pool())
         try:
             for column in texts:
                 parts = [np.asarray(keep(column.slice(at, rows).to_pylist()), bool) for at in range(0, len(column), rows)]
@@ -152,14 +161,11 @@ def summed(vectors: DataFrame, length: int, chunk: int = 4096, dtype=np.float64)
     The vectors are cut to pieces, and each piece is summed as it streams through the task that has its number:
     no task holds more than its pieces of one vector, however many vectors there are.
     """
-    pieces = ceil_div(length, chunk)
+    from pyspark.sql import functions as F
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for v in batch[0].to_pylist():
-                x = np.frombuffer(v, dtype)
-                yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([x[k * chunk : (k + 1) * chunk].tobytes() for k in range(pieces)], pa.binary())], names=["k", "v"])
+    pieces, size = ceil_div(length, chunk), chunk * np.dtype(dtype).itemsize
 
+    @released
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -167,6 +173,7 @@ def summed(vectors: DataFrame, length: int, chunk: int = 4096, dtype=np.float64)
                 total[k] = total.get(k, 0.0) + np.frombuffer(v, dtype).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "v"])
 
-    schema = "k int, v binary"
-    found = {r.k: np.frombuffer(r.v, np.float64) for r in vectors.mapInArrow(cut, schema).repartition(pieces, "k").mapInArrow(add, schema).collect()}
+    cut = vectors.select("v", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("k"))
+    cut = cut.select("k", F.substring("v", F.col("k") * size + 1, F.lit(size)).alias("v"))
+    found = {r.k: np.frombuffer(r.v, np.float64) for r in cut.repartition(pieces, "k").mapInArrow(add, "k int, v binary").collect()}
     return np.concatenate([found[k] for k in range(pieces)]) if found else None

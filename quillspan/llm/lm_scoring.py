@@ -3,8 +3,11 @@
 A small window network predicts every token from the two tokens on either side, itself unseen. The sum of the
 tokens' conditional log-probabilities scores a document. The vocabulary is all words of the corpus: the network
 predicts the most frequent ones themselves and of the others a bucket, and a word has its share of the bucket's tokens
-in the whole corpus. Shares of rare words are joined in by a shuffle, however many there are. Every document is trained on: each task trains its own copy of the network, from the same start, over
-its documents, and the copies are averaged by their tokens.
+in the whole corpus. Shares of rare words are joined in by a shuffle, however many there are.
+
+Every document is trained on, once. Documents are dealt to shards by a hash of what they hold, and as many shards as
+the corpus has tokens for each train their own copy of the network; the copies are averaged by their tokens, and
+the next round begins with the average. How the rows were partitioned has no part in that.
 """
 
 from __future__ import annotations
@@ -18,18 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, summed, words, written
+from .common import ceil_div, drop, released, slices, summed, words, written
 
 #: Outputs of the network: classes of words, and words of a class. The last BUCKETS words stand for all others, by a hash.
-CLASSES, PER_CLASS, BUCKETS = 32, 32, 128
+CLASSES, PER_CLASS, BUCKETS = 128, 128, 128
 VOCABULARY = CLASSES * PER_CLASS
 WIDTH = 16
 #: The tokens around the masked one, by their distance.
 WINDOW = (-2, -1, 1, 2)
 #: Tokens of a training step.
 STEP_TOKENS = 8192
-#: Bound of the documents, chosen by a hash, on which the start is trained that all tasks share.
-WARM_UP_ROWS = 400
+#: Tokens of the first round, which a single shard trains: the start that all later shards share.
+FIRST_TOKENS = 1 << 19
+#: Tokens of a shard of the later rounds, and how many of these rounds there are.
+SHARD_TOKENS, ROUNDS = 1 << 21, 2
 #: Different words that a task counts before it hands its counts on.
 COUNTED_WORDS = 200_000
 #: Words whose ids a task keeps.
@@ -48,15 +53,17 @@ class Network:
         self.squares = [np.full_like(x, 1e-4) for x in self.p]
 
     @property
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.p]).astype(np.float64)
+    def state(self) -> np.ndarray:
+        """Parameters, and the squares that set their steps, as one vector."""
+        return np.concatenate([x.ravel() for x in (*self.p, *self.squares)])
 
-    @flat.setter
-    def flat(self, v: np.ndarray) -> None:
+    @state.setter
+    def state(self, v: np.ndarray) -> None:
         at = 0
-        for i, x in enumerate(self.p):
-            self.p[i] = v[at : at + x.size].reshape(x.shape).astype(np.float32)
-            at += x.size
+        for part in (self.p, self.squares):
+            for i, x in enumerate(part):
+                part[i] = v[at : at + x.size].reshape(x.shape).astype(np.float32)
+                at += x.size
 
     def _hidden(self, context: np.ndarray) -> np.ndarray:
         e, b = self.p[0], self.p[1]
@@ -69,7 +76,7 @@ class Network:
         """Of each target given its context (a row for each place of the window)."""
         return self._forward(context, target, None)
 
-    def _forward(self, context: np.ndarray, target: np.ndarray, grads: list | None) -> np.ndarray:
+    def _forward(self, context: np.ndarray, target: np.ndarray, grads: list | None, sparse: bool = False) -> np.ndarray:
         _, _, wc, bc, ww, bw = self.p
         n = len(target)
         h = self._hidden(context)
@@ -109,19 +116,29 @@ class Network:
         if grads is not None:
             dh *= 1 - h * h
             grads[1] = dh.sum(0)
-            grads[0] = np.zeros_like(self.p[0])
+            parts = []
             for k in range(len(WINDOW)):
                 o = np.argsort(context[k].astype(np.uint16), kind="stable")
                 own = context[k][o]
                 start = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-                grads[0][k][own[start]] = np.add.reduceat(dh[o], start, axis=0)
+                parts.append((own[start], np.add.reduceat(dh[o], start, axis=0)))
+            if sparse:
+                grads[0] = parts
+            else:
+                grads[0] = np.zeros_like(self.p[0])
+                for k, (rows, g) in enumerate(parts):
+                    grads[0][k][rows] = g
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float = 0.15) -> float:
         """A step of Adagrad on these tokens; their mean log-probability before it."""
         grads: list = []
-        out = self._forward(context, target, grads)
-        for x, g, sq in zip(self.p, grads, self.squares, strict=True):
+        out = self._forward(context, target, grads, sparse=True)
+        for k, (rows, g) in enumerate(grads[0]):
+            sq = self.squares[0][k][rows] + g * g
+            self.squares[0][k][rows] = sq
+            self.p[0][k][rows] -= rate * g / np.sqrt(sq)
+        for x, g, sq in zip(self.p[1:], grads[1:], self.squares[1:], strict=True):
             sq += g * g
             x -= rate * g / np.sqrt(sq)
         return float(out.mean())
@@ -163,6 +180,7 @@ def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, n: how often each word stands in all documents (column text), A-Z lower-cased."""
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in slices(batches):
@@ -225,67 +243,123 @@ def _train(network: Network, ids: Iterator[np.ndarray]) -> int:
     return total
 
 
-def train(docs: DataFrame, vocab: Vocabulary) -> Network:
-    """The average of the networks that the tasks have trained over all documents."""
-    start = Network()
-    n = docs.count()
-    h = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = docs.where("text is not null").where(h < F.lit(0.9 * WARM_UP_ROWS / max(1, n))).select("text").limit(WARM_UP_ROWS).collect()
-    texts = sorted(r.text for r in sample)
-    if texts:
-        _train(start, (vocab(t) for _ in range(3) for t in texts))
-    first, squares = start.flat, [s.copy() for s in start.squares]
+def _encoded(docs: DataFrame, vocab: Vocabulary, held: dict[str, float]) -> DataFrame:
+    """h, doc_id, tokens, ids (16-bit numbers), held (the sum of the shares that are held) and rare (the other words of buckets) of every row."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows: list[tuple] = []
+            for t in batch[2].to_pylist():
+                ids = vocab(t)
+                others = np.flatnonzero(ids >= VOCABULARY - BUCKETS).tolist()
+                ws = words(t, fold=True) if others else []
+                found = [held.get(ws[i]) for i in others]
+                rare = [ws[i] for i, x in zip(others, found, strict=True) if x is None]
+                rows.append((len(ids), ids.astype(np.uint16).tobytes(), float(sum(x for x in found if x is not None)), rare))
+            kinds = (pa.int64(), pa.binary(), pa.float64(), pa.list_(pa.string()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], *columns], names=["h", "doc_id", "tokens", "ids", "held", "rare"])
 
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), "doc_id", "text")
+    return rows.mapInArrow(run, "h long, doc_id long, tokens long, ids binary, held double, rare array<string>")
+
+
+def train(docs: DataFrame, vocab: Vocabulary) -> Network:
+    """The network of these documents (doc_id, text)."""
+    encoded = written(_encoded(docs.select("doc_id", "text"), vocab, {}).select("h", "doc_id", "tokens", "ids"), "encoded")
+    out = _trained(encoded)
+    drop(encoded)
+    return out
+
+
+def _trained(encoded: DataFrame) -> Network:
+    """Trains in rounds: each document (h, ids) has its round and its shard by its hash."""
+    network = Network()
+    tokens = int(encoded.agg(F.sum("tokens")).first()[0] or 0)
+    if not tokens:
+        return network
+    # bits of the hash: the lowest 20 for the round, the next ones for the shard
+    first = min(1.0, FIRST_TOKENS / tokens)
+    place = F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20))
+    edges = [0.0, first, *(first + (1 - first) * (k + 1) / ROUNDS for k in range(ROUNDS))]
+    for k, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        if low < high:
+            shards = 1 if k == 0 else max(1, round(tokens * (high - low) / SHARD_TOKENS))
+            shard = F.pmod(F.shiftright("h", 20), F.lit(shards)).cast("int")
+            _round(network, encoded.where((place >= low) & (place < high)).select(shard.alias("shard"), "h", "ids"), shards)
+    return network
+
+
+def _round(network: Network, rows: DataFrame, shards: int) -> None:
+    """Trains a copy of the network on each shard of the rows (shard, h, ids), in the order of the hash; leaves the average."""
+    start = network.state
+
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network()
-        network.flat = first
-        network.squares = [s.copy() for s in squares]
-        tokens = _train(network, (vocab(t) for batch in slices(batches) for t in batch[0].to_pylist()))
-        if tokens:
-            v = np.concatenate([network.flat * tokens, [tokens]])
-            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary())], names=["v"])
-
-    total = summed(written(docs.select("text").mapInArrow(run, "v binary"), "networks"), len(first) + 1)
+        own: list = []  # the shard at hand; a task may have several
+
+        def documents(shard: int, batch: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+            while batch is not None:
+                number = batch["shard"].to_numpy()
+                end = int(np.searchsorted(number, shard, "right"))
+                for x in batch["ids"].slice(0, end).to_pylist():
+                    yield np.frombuffer(x, np.uint16).astype(np.int32)
+                if end < batch.num_rows:
+                    own.append(batch.slice(end))
+                    return
+                batch = next(rest, None)
+
+        rest = slices(batches)
+        batch = next(rest, None)
+        while batch is not None:
+            copy = Network()
+            copy.state = start
+            tokens = _train(copy, documents(batch["shard"][0].as_py(), batch, rest))
+            if tokens:
+                v = np.concatenate([copy.state * np.float32(tokens), np.array([tokens], np.float32)])
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary())], names=["v"])
+            batch = own.pop() if own else None
+
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "h", "ids")
+    copies = written(dealt.mapInArrow(run, "v binary"), "networks")
+    total = summed(copies, len(start) + 1, dtype=np.float32)
+    drop(copies)
     if total is not None:
-        start.flat = total[:-1] / total[-1]
-    return start
+        network.state = total[:-1] / total[-1]
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """doc_id, tokens, log_likelihood (the sum over all tokens) and per_token of every row; trains and scores.
 
-    Null, empty or wordless text: 0 tokens, log_likelihood 0, per_token null. Null doc_id and repeated rows: a row
-    each. Empty table: no rows. Extra columns are ignored.
+    Null, empty or wordless text: 0 tokens, log_likelihood 0, per_token null. Very long texts are scored whole, in
+    blocks of tokens. Null doc_id, ties and repeated rows: a row each, with equal scores for rows alike. Empty table: no
+    rows. Extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = written(word_counts(rows), "counts")
     vocab = _vocabulary(counts)
-    network = train(rows, vocab)
     held, further = shares(counts, vocab)
+    encoded = written(_encoded(rows, vocab, held), "encoded")
+    network = _trained(encoded.select("h", "tokens", "ids"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = batch[1].to_pylist()
-            ids = [vocab(t) for t in texts]
-            total, rare = np.zeros(len(ids)), []
-            for s in range(0, len(ids), 32):
-                context, target, own = windows(ids[s : s + 32])
-                for at in range(0, len(target), 1 << 15):
-                    lp = network.log_probability(context[:, at : at + (1 << 15)], target[at : at + (1 << 15)])
-                    total[s : s + 32] += np.bincount(own[at : at + (1 << 15)], lp.astype(float), min(32, len(ids) - s))
-            for k, t in enumerate(texts):
-                others = np.flatnonzero(ids[k] >= VOCABULARY - BUCKETS).tolist()
-                ws = words(t, fold=True) if others else []
-                found = [held.get(ws[i]) for i in others]
-                total[k] += sum(x for x in found if x is not None)
-                rare.append([ws[i] for i, x in zip(others, found, strict=True) if x is None])
-            n = np.array([len(d) for d in ids])
-            columns = [batch[0], pa.array(n, pa.int64()), pa.array(total), pa.array(rare, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tokens", "total", "rare"])
-
-    scored = rows.mapInArrow(run, "doc_id long, tokens long, total double, rare array<string>")
+        for batch in slices(batches, 64):
+            ids = [np.frombuffer(x, np.uint16).astype(np.int32) for x in batch["ids"].to_pylist()]
+            total = np.zeros(len(ids))
+            context, target, own = windows(ids)
+            for at in range(0, len(target), 1 << 15):
+                lp = network.log_probability(context[:, at : at + (1 << 15)], target[at : at + (1 << 15)])
+                total += np.bincount(own[at : at + (1 << 15)], lp.astype(float), len(ids))
+            total += batch["held"].to_numpy()
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tokens"], pa.array(total), batch["rare"]], names=["doc_id", "tokens", "total", "rare"])
+
+    scored = encoded.select("doc_id", "tokens", "ids", "held", "rare").mapInArrow(run, "doc_id long, tokens long, total double, rare array<string>")
     scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
     parts = scored.select("row", F.explode("rare").alias("word")).join(further, "word").groupBy("row").agg(F.sum("share").alias("share"))
+    parts = written(parts, "shares-of-rows")
+    drop(encoded, counts)
     total = F.col("total") + F.coalesce("share", F.lit(0.0))
     out = scored.drop("rare").join(parts, "row", "left").select("doc_id", "tokens", total.alias("log_likelihood"))
     return out.withColumn("per_token", F.when(F.col("tokens") > 0, F.col("log_likelihood") / F.col("tokens")))

@@ -92,3 +92,49 @@ def test_rare_words_have_their_own_probability(spark, monkeypatch):
     for d, t in ((3, extra[0]), (4, extra[1])):
         alone = net.log_probability(*lm.windows([vocab(t)])[:2]).sum()
         assert abs(scores[0][d][2] - alone - sum(want[w] for w in t.split())) < 0.02 * abs(alone)
+
+
+def test_scores_by_brute_force_and_however_the_rows_lie(spark, monkeypatch):
+    """Every token's probability over all outcomes, one by one, times its word's share; equal under repartition."""
+    import zlib
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "FIRST_TOKENS", 10_000)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 15_000)
+    rng = np.random.default_rng(4)
+    common = [f"c{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(common, int(rng.integers(1, 30))).tolist() + [f"own{i} Own{i // 2}"]) for i in range(40)]
+    texts += [None, "", "c1 c2 " * 20, "c1 c2 " * 20]
+    few = len(texts)
+    fill = [f"f{i}" for i in range(lm.VOCABULARY - lm.BUCKETS - len(common))]  # so that the words of one or two documents are in buckets
+    texts += [" ".join(fill[i : i + 500] * 3) for i in range(0, len(fill), 500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = Counter(w for t in texts for w in words(t, fold=True))
+    vocab = lm.vocabulary(docs)
+    assert set(vocab.frequent) == {*common, *fill}
+    bucket = lambda w: zlib.crc32(w.encode()) % lm.BUCKETS
+    rest = Counter()
+    for w, n in counts.items():
+        if w not in vocab.frequent:
+            rest[bucket(w)] += n
+    net = lm.train(docs, vocab)
+    e, b, wc, bc, ww, bw = (x.astype(float) for x in net.p)
+    known = {w: i for i, w in enumerate(vocab.frequent)}
+
+    def brute(text):
+        ids = [known.get(w, lm.VOCABULARY - lm.BUCKETS + bucket(w)) for w in words(text, fold=True)]
+        at, total = (lambda i: ids[i] if 0 <= i < len(ids) else lm.VOCABULARY), 0.0
+        for i, w in enumerate(words(text, fold=True)):
+            h = np.tanh(b + sum(e[k][at(i + d)] for k, d in enumerate(lm.WINDOW)))
+            p, q = np.exp(h @ wc + bc), np.exp(np.einsum("i,cij->cj", h, ww) + bw)
+            p = (p / p.sum())[:, None] * q / q.sum(1, keepdims=True)
+            p = p.reshape(-1)
+            assert abs(p.sum() - 1) < 1e-9
+            total += np.log(p[ids[i]]) + (0 if w in known else np.log(counts[w] / rest[bucket(w)]))
+        return total
+
+    got = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(docs).collect()}
+    assert all(abs(got[i] - brute(t)) <= 1e-3 * max(1, abs(got[i])) for i, t in enumerate(texts[:few]))
+    for n in (7,):
+        other = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(docs.repartition(n)).collect()}
+        assert all(abs(got[i] - other[i]) <= 1e-4 * max(1, abs(got[i])) for i in got)
