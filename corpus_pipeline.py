@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspan.llm.common import written
+from quillspan.llm.common import small_batches, written
 from quillspan.llm.language import with_language
 from quillspan.llm.mixing import mixed
 from quillspan.llm.packing import pack_documents
@@ -16,27 +16,32 @@ from quillspan.llm.toxicity import without_toxic
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose language stays unclear, go."""
+    """Documents without a letter (null and empty texts too), and those whose language stays unclear, go; see with_language for odd rows."""
+    small_batches(spark)
     return with_language(docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go. Labels come from the table labels."""
+    """Documents that score as toxic go; null and empty texts stay. Labels come from the table labels. See without_toxic for odd rows."""
+    small_batches(spark)
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike in their five-word shingles (0.8 or more) that of the smallest doc_id stays."""
+    """Of documents alike in their five-word shingles (0.8 or more) that of the smallest doc_id stays. See deduplicated for odd rows."""
+    small_batches(spark)
     return deduplicated(docs, n=5, similarity=0.8)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stand as often as their source's target asks for."""
+    """Documents stand as often as their source's target asks for; null sources are a source of their own. See mix for odd rows."""
+    small_batches(spark)
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 4096 tokens."""
+    """Pieces of sequences of at most 4096 tokens; null and empty texts are an end id. See pack_documents for odd rows."""
+    small_batches(spark)
     return pack_documents(docs, tokenizer_path())
 
 
