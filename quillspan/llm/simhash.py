@@ -40,6 +40,8 @@ LIST_ENTRIES = 1 << 14
 SHORT_LIST = 48
 #: Links that a task gathers before it hands them on.
 KEPT_LINKS = 200_000
+#: Sets, and shingle hashes, of a block of a proposed group; a task holds two blocks.
+GROUP_MEMBERS, GROUP_HASHES = 2048, 1 << 19
 #: Shingles that are hashed at once; longer texts go through in blocks.
 BLOCK = 1 << 20
 #: Distinct shingles up to which a text also meets others by shingles: the bits of so few are too coarse for the model.
@@ -603,76 +605,64 @@ def _most(width: int, p: float, slack: float) -> int:
     return round(width * p + slack * math.sqrt(width * p * (1 - p)))
 
 
-def _open_pairs(sets: DataFrame, similarity: float, width: int, slack: float) -> DataFrame:
-    """a, b (ids): the pairs of one root that may be alike and aren't yet in one part; sets: id, root, size, part, fp, hashes.
+def _left_apart(members: DataFrame, similarity: float, width: int, slack: float) -> DataFrame:
+    """a, b (sids): links that join the parts of each proposed group as all links between them would.
 
-    Sets alike share one of the first hashes of either. Of two longer sets the bits of the whole fingerprints are
-    looked at as well, with `slack` standard deviations. Members of the largest part of a list are only compared with others.
+    members: sid, root, size, part, fp, hashes. A group is dealt to blocks of some GROUP_MEMBERS sets and GROUP_HASHES
+    hashes, and every two blocks meet in a cell, so that no task holds a large group. In a cell, pairs of different parts
+    whose whole fingerprints differ in no more bits than `slack` standard deviations allow are compared by their sets;
+    parts that a link joined are one from then on. No pair leaves the task, only links.
     """
-    most = _most(width, differing(similarity), slack)
-    names = ["root", "h", "id", "size", "part"]
-
-    @released
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            first = [np.frombuffer(x, np.int64)[: _prefix(len(x) // 8, similarity)] for x in batch["hashes"].to_pylist()]
-            own = pa.array(np.repeat(np.arange(len(first)), [len(x) for x in first]))
-            h = np.concatenate(first)
-            for at in range(0, len(h), 10_000):
-                o = own.slice(at, 10_000)
-                columns = [pa.array(h[at : at + 10_000]) if c == "h" else batch[c].take(o) for c in (*names, "fp")]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "fp"])
+    most, most_short = _most(width, differing(similarity), slack), _most(width, LEAST_FAVOURABLE, slack)
+    groups = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("hashes"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP_MEMBERS), F.ceil(F.col("hashes") / GROUP_HASHES)).cast("int")
+    groups = written(groups.select("root", blocks.alias("blocks")), "groups")
+    rows = members.join(small(groups), "root").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("cell")
+    alone = (F.col("block") == F.col("other")).alias("alone")
+    rows = rows.select(cell, "block", alone, "size", "part", "sid", "fp", "hashes")
 
     @released
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[np.ndarray] = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def take() -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *out]), axis=0)
-            out.clear()
-            return _rows([pairs[:, 0], pairs[:, 1]], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-        def close() -> Iterator[pa.RecordBatch]:
-            rows, fps = (np.concatenate(x) for x in zip(*held, strict=True))
+        def close() -> pa.RecordBatch:
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
-            edges = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1
-            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
-                if e - s < 2:
-                    continue
-                part, inverse, many = np.unique(rows[s:e, 4], return_inverse=True, return_counts=True)
-                if len(part) < 2:
-                    continue
-                order = np.argsort(many[inverse] * (len(part) + 1) + inverse, kind="stable") + s  # the largest part last
-                ids, size, code, f = rows[order, 2], rows[order, 3], inverse[order - s], fps[order]
-                for i in range(int((code != code[-1]).sum())):
-                    j = np.flatnonzero((code[i + 1 :] != code[i]) & (np.minimum(size[i + 1 :], size[i]) >= similarity * np.maximum(size[i + 1 :], size[i]) - 1e-9)) + i + 1
-                    bits = np.bitwise_count(f[j] ^ f[i]).sum(1, dtype=np.int32)
-                    j = j[(bits <= most) | (size[j] <= SHORT) | (size[i] <= SHORT)]
-                    out.append(np.sort(np.stack([np.full(len(j), ids[i]), ids[j]], 1), axis=1))
-                if sum(map(len, out)) > 200_000:
-                    yield take()
+            block, size, part = (batch[c].to_numpy() for c in ("block", "size", "part"))
+            fps, apart = frombuffers(batch["fp"], np.uint64, width // 8), not batch["alone"][0].as_py()
+            sid = batch["sid"].to_pylist()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["hashes"]]
+            _, code, many = np.unique(part, return_inverse=True, return_counts=True)
+            order = np.argsort(many[code] * (len(many) + 1) + code, kind="stable")  # the largest part last, it needs no turn
+            out: list[tuple[bytes, bytes]] = []
+            for k in range(int((code != code[order[-1]]).sum()) if len(many) > 1 else 0):
+                i, rest = int(order[k]), order[k + 1 :]
+                j = rest[code[rest] != code[i]]
+                if apart:
+                    j = j[block[j] != block[i]]
+                j = j[np.minimum(size[j], size[i]) >= similarity * np.maximum(size[j], size[i]) - 1e-9]
+                bits = np.bitwise_count(fps[j] ^ fps[i]).sum(1, dtype=np.int32)
+                for x in j[bits <= np.where(np.minimum(size[j], size[i]) <= SHORT, most_short, most)].tolist():
+                    if code[x] != code[i] and alike(sets[i], sets[x], similarity):
+                        out.append((min(sid[i], sid[x]), max(sid[i], sid[x])))
+                        code[code == code[x]] = code[i]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            for b in slices([batch], 4096):
-                rows = np.stack([b[c].to_numpy() for c in names], 1)
-                fps = frombuffers(b["fp"], np.uint64, width // 8)
-                if sum(len(r) for r, _ in held) >= 4096:
-                    last = held[-1][0][-1]
-                    new = np.flatnonzero((rows[:, 0] != last[0]) | (rows[:, 1] != last[1]))
-                    cut = int(new[0]) if len(new) else len(rows)
-                    held.append((rows[:cut], fps[:cut].copy()))
-                    rows, fps = rows[cut:], fps[cut:]
-                    if len(rows):
-                        yield from close()
-                if len(rows):
-                    held.append((rows, fps.copy()))
+            for b in slices([batch]):
+                while b.num_rows:
+                    own = b["cell"].to_numpy()
+                    if held and own[0] != held[-1]["cell"][-1].as_py():  # rows come sorted by cell
+                        yield close()
+                    cut = int(np.searchsorted(own, own[0], "right"))
+                    held.append(b.slice(0, cut))
+                    b = b.slice(cut)
         if held:
-            yield from close()
-        yield take()
+            yield close()
 
-    lists = sets.mapInArrow(post, f"{_schema(names)}, fp binary")
-    return lists.repartition("root", "h").sortWithinPartitions("root", "h").mapInArrow(meet, "a long, b long").distinct()
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width: int = 1024, recall: float = 0.99, slack: float = 4.0) -> DataFrame:
@@ -681,7 +671,7 @@ def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width:
     fp names the shingle set. Fingerprints propose groups: a pair at exactly `similarity` meets with probability
     `recall`, more similar ones more surely, and is proposed if the words that the index carries differ in no more bits
     than the least favourable pair of sets is expected to, plus `slack` standard deviations. Every link is then verified on
-    the sets of both texts: first the proposals' spanning forest, then all pairs of a proposed group that it leaves apart.
+    the sets of both texts: first the proposals' spanning forest, then what it leaves apart of a proposed group.
     """
     keys = written(_sets(docs, n, similarity, width), "sets")
     short = F.conv(F.substring(F.hex("sid"), 1, 16), 16, -10).cast("long")
@@ -713,12 +703,10 @@ def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width:
     tried = written(tried.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "tried")
     sure = written(_verified(tried, found, similarity), "verified")
     parts = components(sure)
-    left = member.join(parts, member.sid == parts.node, "left").select("sid", "id", "size", "fp", member.root, F.xxhash64(F.coalesce(parts.root, "sid")).alias("part"))
+    left = member.join(parts, member.sid == parts.node, "left").select("sid", "size", "fp", member.root, F.xxhash64(F.coalesce(parts.root, "sid")).alias("part"))
     apart = left.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("root")
-    left = left.join(apart, "root").join(found, "sid").select("id", "root", "size", "part", "fp", "hashes")
-    open_ = _open_pairs(left, similarity, width, slack).join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
-    open_ = open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).join(tried, ["a", "b"], "left_anti")
-    more = written(_verified(open_, found, similarity), "verified")
+    left = left.join(apart, "root").join(found, "sid").select("sid", "root", "size", "part", "fp", "hashes")
+    more = written(_left_apart(left, similarity, width, slack), "verified")
     out = grouped(names, sure.unionAll(more))
     drop(found, tried, forest, member)
     return out
