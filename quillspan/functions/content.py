@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 import io
 import json
 import zipfile
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,19 +17,9 @@ HTML_MARKS = ("<html", "<!doctype html", "<script")
 ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
 NAMES_KEPT = 12
 
-VERDICT = T.StructType(
-    [
-        T.StructField("bytes", T.LongType()),
-        T.StructField("zip_magic_ok", T.BooleanType()),
-        T.StructField("html_rejected", T.BooleanType()),
-        T.StructField("zip_ok", T.BooleanType()),
-        T.StructField("zip_crc_ok", T.BooleanType()),
-        T.StructField("zip_entries", T.IntegerType()),
-        T.StructField("zip_names_sample", T.ArrayType(T.StringType())),
-        T.StructField("sha256", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
+#: Why a payload is no sound archive; null for one that is.
+FAULTS = ("html", "magic", "structure", "member")
+_LISTING = T.StructType([T.StructField("entries", T.IntegerType()), T.StructField("names", T.ArrayType(T.StringType())), T.StructField("readable", T.BooleanType()), T.StructField("damaged", T.StringType())])
 
 
 def looks_like_html(content: Column) -> Column:
@@ -45,31 +35,51 @@ def has_zip_magic(content: Column) -> Column:
     return F.substring(content.cast("binary"), 1, 4).isin(*[F.unhex(F.lit(m.hex())) for m in ZIP_MAGIC])
 
 
-def verify_zip(data: bytes | None) -> tuple | None:
-    """VERDICT of one payload; None for None. Members are read in pieces, for their CRC."""
-    if data is None:
-        return None
-    data = bytes(data)
-    magic, sha = data[:4] in ZIP_MAGIC, hashlib.sha256(data).hexdigest()
-    head = data[:512].lower()
-    if any(m.encode() in head for m in HTML_MARKS):
-        return len(data), magic, True, False, False, 0, [], sha, "content looks like HTML, not a ZIP"
-    if not magic:
-        return len(data), magic, False, False, False, 0, [], sha, "missing PK magic"
+def _listing(data: bytes) -> dict:
+    """What an archive holds: how many members, the first names, whether its directory can be read, and a damaged member's name."""
+    found = {"entries": 0, "names": [], "readable": False, "damaged": None}
     try:
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
-            names = z.namelist()
-            bad = z.testzip()
-        return len(data), True, False, True, bad is None, len(names), names[:NAMES_KEPT], sha, None if bad is None else f"CRC failure in member: {bad}"
-    except zipfile.BadZipFile as e:
-        return len(data), True, False, False, False, 0, [], sha, f"BadZipFile: {e}"
-    except Exception as e:  # a payload is untrusted: whatever a reader trips over rejects it
-        return len(data), True, False, False, False, 0, [], sha, f"zip parse error: {e}"
-
-
-@F.pandas_udf(VERDICT)
-def verify_zip_bytes(content: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([verify_zip(x) or (None,) * len(VERDICT) for x in content], columns=VERDICT.names)
+        with zipfile.ZipFile(io.BytesIO(data)) as archive:
+            members = archive.infolist()
+            found |= {"entries": len(members), "names": [m.filename for m in members[:NAMES_KEPT]], "readable": True}
+            for m in members:
+                found["damaged"] = m.filename  # stays, if reading it to its end (where its CRC is compared) fails
+                with archive.open(m) as content:
+                    while content.read(1 << 20):
+                        pass
+            found["damaged"] = None
+    except Exception:  # a payload is untrusted: whatever a reader trips over counts against it
+        pass
+    return found
+
+
+@F.arrow_udf(_LISTING)
+def _listed(payloads: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kind = pa.struct([("entries", pa.int32()), ("names", pa.list_(pa.string())), ("readable", pa.bool_()), ("damaged", pa.string())])
+    for column in payloads:  # one payload is opened at a time
+        yield pa.array((None if x is None else _listing(x.as_py()) for x in (v if v.is_valid else None for v in column)), kind)
+
+
+def verify_zip_bytes(content: Column | str) -> Column:
+    """A payload's verdict as a struct; null for null. Size, hash and marks are found in the JVM; only what may be an archive is opened.
+
+    fault is one of FAULTS: HTML, no signature, an unreadable directory, a member whose content doesn't have its CRC.
+    """
+    c = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    magic, html = has_zip_magic(c), looks_like_html(c)
+    x = _listed(F.when(magic & ~html, c))
+    readable = F.coalesce(x["readable"], F.lit(False))
+    fault = F.when(html, FAULTS[0]).when(~magic, FAULTS[1]).when(~readable, FAULTS[2]).when(x["damaged"].isNotNull(), FAULTS[3])
+    verdict = F.struct(
+        F.octet_length(c).cast("long").alias("bytes"), F.sha2(c, 256).alias("sha256"), magic.alias("zip_magic_ok"), html.alias("html_rejected"), readable.alias("zip_ok"),
+        (readable & x["damaged"].isNull()).alias("zip_crc_ok"), F.coalesce(x["entries"], F.lit(0)).alias("zip_entries"), x["names"].alias("zip_names_sample"), fault.alias("fault"),
+    )
+    return F.when(c.isNotNull(), verdict)
+
+
+def blob_text(content: Column) -> Column:
+    """The text of a repository blob: base64 in lines."""
+    return F.decode(F.unbase64(F.regexp_replace(content, r"\s", "")), "UTF-8")
 
 
 def is_verified(verdict: Column) -> Column:

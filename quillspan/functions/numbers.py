@@ -40,9 +40,10 @@ def fraction(part: Column, whole: Column, digits: int = 6) -> Column:
 
 
 def ceil_div(a: Column, b: int) -> Column:
-    return F.floor((a + F.lit(b - 1)) / F.lit(b)).cast("long")
+    """Integer division, rounded up."""
+    return div(a + F.lit(b - 1), b)
 
 
 def div(a: Column, b: int) -> Column:
-    """Integer division, rounded down."""
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")
+    """Integer division, rounded down. A multiple of b is divided, so rounding gives the whole quotient (below 2^51)."""
+    return F.round((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")

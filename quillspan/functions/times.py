@@ -19,7 +19,8 @@ def parse_utc(text: Column) -> Column:
 
 def millis(ts: Column) -> Column:
     """Milliseconds of a timestamp, rounded down."""
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(1000)).cast("long")
+    micros = F.unix_micros(ts.cast("timestamp"))
+    return F.round((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("long")
 
 
 def hour_key(ms: Column) -> Column:

@@ -143,3 +143,21 @@ def upsert(base: DataFrame, ours: DataFrame, theirs: DataFrame, keys: list[str],
     x = side(base, "b").join(side(ours, "o"), keys, "full").join(side(theirs, "t"), keys, "full")
     touched = ~F.col("o").eqNullSafe(F.col("b"))
     return x.withColumn("r", F.when(touched, F.col("o")).otherwise(F.col("t"))).where("r is not null").select(*keys, "r.*")
+
+
+def outstanding(chunks: DataFrame, seen: DataFrame, entries: DataFrame) -> DataFrame:
+    """key, unsearched, abandoned: what is missing of each chunk (key, size) after distinct observations (key, n); abandoned ones stand apart."""
+    gone = entries.where("status = 'ABANDONED'").select("key", F.lit(True).alias("abandoned")).distinct()
+    x = chunks.join(seen.select("key", "n"), "key", "left").join(gone, "key", "left")
+    return x.select("key", (F.col("size") - F.coalesce("n", F.lit(0))).alias("unsearched"), F.coalesce("abandoned", F.lit(False)).alias("abandoned")).where("unsearched > 0")
+
+
+def merged_maps(a, b):
+    """Two maps as one; where both have a key, that of the second counts."""
+    return F.map_zip_with(a, b, lambda k, x, y: F.coalesce(y, x))
+
+
+def named(df: DataFrame, registry: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows with the registry's name for their key: null where the key is null, isn't listed, or is listed without a name."""
+    known = registry.select(F.col(key).alias("__key"), F.col(name)).dropDuplicates(["__key"])
+    return df.join(known, df[key] == F.col("__key"), "left").drop("__key")

@@ -49,6 +49,18 @@ def new_hits(hits: DataFrame, known_urls: DataFrame, most: int | None = 4) -> Da
     return fresh if most is None else fresh.limit(most)
 
 
+def overlay(known: DataFrame, hits: DataFrame, most: int = 4, kept: int = 64) -> DataFrame:
+    """url, expanded, kept after one cycle of the cascade: hits (seq, url) not known yet, the first `most` of them, are expanded.
+
+    Of all URLs known by then only the last `kept` in their order stay known, as the published rule has it: an older
+    one may come up again. Without a row that is expanded the overlay and its revision stay as they were.
+    """
+    fresh = hits.groupBy("url").agg(F.min("seq").alias("seq")).join(known.select("url"), "url", "left_anti").orderBy("seq").limit(most)
+    every = known.select("url", F.lit(False).alias("expanded")).distinct().unionByName(fresh.select("url", F.lit(True).alias("expanded")))
+    last = every.orderBy(F.desc("url")).limit(kept).select("url", F.lit(True).alias("kept"))
+    return every.join(last, "url", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
 def greedy_bins(items: DataFrame, keys: list[str], order: list[str], size: str, cap: int) -> DataFrame:
     """items with bin and offset: in order, a new bin begins where the next item doesn't fit; an item over cap has its own.
 

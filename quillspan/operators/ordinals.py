@@ -199,3 +199,41 @@ def universe(spec: DataFrame, compat: bool = False) -> DataFrame:
 def tier_table(items: DataFrame) -> DataFrame:
     """tier, start_ordinal, count of the tiers of a universe, in order."""
     return items.groupBy("tier").agg(F.min("ordinal0").alias("start_ordinal"), F.sum("n").alias("count")).orderBy("start_ordinal")
+
+
+def family_windows(ids: DataFrame, anchors: dict[str, int], order: list[str], forward: tuple[int, int] | None, backward: tuple[int, int] | None) -> DataFrame:
+    """map_id, lo, hi, label: for every id the windows (seconds) after and before each anchor. The anchors are a configuration."""
+    spans = [(f"{name}_{a}", anchors[a] + span[0] * 1000, anchors[a] + span[1] * 1000) for a in order for name, span in (("fwd", forward), ("back", backward)) if span]
+    all_ = F.array(*[F.struct(F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"), F.lit(label).alias("label")) for label, lo, hi in spans])
+    return ids.select("map_id", F.explode(all_).alias("w")).select("map_id", "w.lo", "w.hi", "w.label")
+
+
+def static_epoch(ranges: DataFrame, covered: DataFrame, width: int) -> DataFrame:
+    """ranges (tier, priority, path_fmt, map_id, seq, lo, hi) without what is covered (path_fmt, map_id, lo, hi) or stands in an earlier range.
+
+    Series of one name under two paths are apart. Tiers keep their columns, and those with nothing left aren't in the result.
+    """
+    from .intervals import non_empty, overlapping, subtract
+
+    key = ["path_fmt", "map_id"]
+    left = subtract(ranges.select("tier", "priority", *key, "seq", "lo", "hi"), covered, key, width)
+    # cut at every end, so that pieces are the same or apart; each belongs to the first range that has it
+    ends = left.select(*key, F.explode(F.array("lo", "hi")).alias("lo")).distinct()
+    cells = ends.withColumn("hi", F.lead("lo").over(Window.partitionBy(*key).orderBy("lo"))).where("hi is not null")
+    first = overlapping(left, cells, key, width).groupBy(*key, "clo", "chi").agg(F.min(F.struct("seq", "tier", "priority")).alias("own"))
+    owned = non_empty(first.select(*key, "own.*", F.col("clo").alias("lo"), F.col("chi").alias("hi")))
+    # neighbours of one range are one piece again
+    w = Window.partitionBy(*key, "seq").orderBy("lo")
+    marked = owned.withColumn("new", (F.coalesce(F.lag("hi").over(w), F.lit(-1)) != F.col("lo")).cast("int")).withColumn("run", F.sum("new").over(w))
+    return marked.groupBy("tier", "priority", *key, "seq", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run")
+
+
+def first_candidates(ordinals: DataFrame, at: str, most: int) -> DataFrame:
+    """The first `most` ordinals: a limit that a run was asked for."""
+    return ordinals.orderBy(at).limit(most)
+
+
+def in_universe(ordinals: DataFrame, total: int, at: str = "ordinal") -> DataFrame:
+    """The rows, once each ordinal has been seen to lie in [0, total); any other one is an error."""
+    bad = (F.col(at) < 0) | (F.col(at) >= total)
+    return ordinals.withColumn(at, F.when(bad, F.raise_error(F.concat(F.lit("outside the universe: "), F.col(at).cast("string"))).cast("long")).otherwise(F.col(at)))

@@ -142,3 +142,9 @@ def histogram(entries: DataFrame) -> DataFrame:
 def drained(entries: DataFrame, exhausted: bool) -> bool:
     """No epoch is left and no entry is open: time for the final accounting."""
     return exhausted and entries.where(F.col("status").isin("PENDING", "RETRY", "RUNNING")).isEmpty()
+
+
+def pruned(shards: DataFrame, now: Column, hours: int = 48) -> DataFrame:
+    """Shards whose heartbeat is younger than so many hours; unreadable ones go."""
+    beat = parse_utc(F.col("heartbeat_utc"))
+    return shards.where((beat > 0) & (now - beat < hours * 3600))

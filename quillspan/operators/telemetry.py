@@ -11,6 +11,8 @@ from ..functions.numbers import floor_rank, nearest_rank
 BUDGET_LAW = {"low": 150.0, "high": 16_000.0}
 GOVERNOR_LAW = {"low": 10_000.0, "high": 120_000.0, "samples": 2000}
 WORKER_LAW = {"start": 100.0, "low": 12.0, "high": 2000.0, "step": 25.0, "factor": 0.5}
+WORKER_HIT = {"bad": 12, "all": 25, "pause_s": 2.0, "longest_s": 60.0}
+GRID_HIT = {"streak": 20, "pause_s": 1.5}
 GRID_LAW = {"start": 600.0, "low": 150.0, "high": 8000.0, "step": 200.0, "mild": 0.9, "severe": 0.7}
 WINDOW_SLOTS = ("dur_s", "rps", "n200", "n404", "n503", "ntimeout", "nneterr", "p50_ms", "p95_ms", "concurrency")
 LEDGER_S, TRAIL_S = 3 * 3600, 1500
@@ -160,3 +162,71 @@ def bad_streaks(events: DataFrame, keys: list[str], order: str) -> DataFrame:
         return F.struct(F.when(n >= 20, 0).otherwise(n).alias("streak"), (s["hits"] + (n >= 20).cast("int")).alias("hits"))
 
     return events.groupBy(*keys).agg(rows.alias("__r")).select(*keys, F.aggregate("__r", start, step)["hits"].alias("hits"))
+
+
+def fold_governor(cycles: DataFrame, keys: list[str], order: str, start: float = 60_000.0) -> DataFrame:
+    """keys, budget, hint, revisions: the fleet governor over cycles (bad, samples, fresh, dispatched).
+
+    The hint is the fleet that workers should assume: those seen, or those just dispatched, one at least. A cycle is
+    recorded, with the budget to a tenth, if the budget moved by more than 1 or the hint changed.
+    """
+    first = F.struct(F.lit(start).alias("budget"), F.lit(0).cast("long").alias("hint"), F.lit(0).cast("long").alias("revisions"))
+
+    def step(s: Column, w: Column) -> Column:
+        hint = F.greatest(w["fresh"], w["dispatched"], F.lit(1)).cast("long")
+        new = governor_step(s["budget"], w["bad"], w["samples"])
+        moved = (F.abs(new - s["budget"]) > 1) | (hint != s["hint"])
+        return F.struct(F.when(moved, F.round(new, 1)).otherwise(s["budget"]).alias("budget"), F.when(moved, hint).otherwise(s["hint"]).alias("hint"), (s["revisions"] + moved.cast("long")).alias("revisions"))
+
+    return fold(cycles, keys, order, ["bad", "samples", "fresh", "dispatched"], first, step).select(*keys, "state.*")
+
+
+def fold_worker_events(events: DataFrame, keys: list[str], order: str, cap: float = WORKER_LAW["high"]) -> DataFrame:
+    """keys, rate, backoff, pause_until: the worker law over single outcomes and windows.
+
+    events: at (seconds), tick (the end of a window, with bad_frac and err_frac) or an outcome that is bad or not. As soon
+    as 12 bad outcomes of 25 or more piled up the rate halves, and a pause begins that doubles from hit to hit.
+    """
+    k, hit = WORKER_LAW, WORKER_HIT
+    zero = F.lit(0).cast("long")
+    first = F.struct(F.lit(k["start"]).alias("rate"), zero.alias("backoff"), F.lit(0.0).alias("pause_until"), zero.alias("bad"), zero.alias("all"))
+
+    def step(s: Column, e: Column) -> Column:
+        bad, all_ = s["bad"] + e["bad"].cast("long"), s["all"] + 1
+        hits = ~e["tick"] & e["bad"] & (bad >= hit["bad"]) & (all_ >= hit["all"])
+        clean, poor = (e["bad_frac"] <= 0.005) & (e["err_frac"] <= 0.01), (e["bad_frac"] > 0.02) | (e["err_frac"] > 0.03)
+        pause = F.least(F.lit(hit["pause_s"]) * F.pow(F.lit(2.0), s["backoff"]), F.lit(hit["longest_s"]))
+        rate = F.when(e["tick"], worker_step(s["rate"], e["bad_frac"], e["err_frac"], F.lit(cap))).when(hits, F.greatest(F.lit(k["low"]), s["rate"] * k["factor"])).otherwise(s["rate"])
+        backoff = F.when(e["tick"], F.when(clean, F.greatest(zero, s["backoff"] - 1)).when(poor, s["backoff"] + 1).otherwise(s["backoff"])).otherwise(s["backoff"] + hits.cast("long"))
+        counted = lambda n, c: F.when(e["tick"], s[c]).when(hits, zero).otherwise(n).alias(c)
+        until = F.when(hits, F.greatest(s["pause_until"], e["at"] + pause)).otherwise(s["pause_until"])
+        return F.struct(rate.alias("rate"), backoff.alias("backoff"), until.alias("pause_until"), counted(bad, "bad"), counted(all_, "all"))
+
+    return fold(events, keys, order, ["at", "tick", "bad", "bad_frac", "err_frac"], first, step).select(*keys, "state.rate", "state.backoff", "state.pause_until")
+
+
+def fold_grid_events(events: DataFrame, keys: list[str], order: str, cap: float = GRID_LAW["high"]) -> DataFrame:
+    """keys, rate, best, pause_until: the grid law over single outcomes and windows, events as in fold_worker_events.
+
+    Each bad outcome adds one to a streak and each good one takes one off; at 20 the rate falls and a short pause begins.
+    """
+    k, hit = GRID_LAW, GRID_HIT
+    zero = F.lit(0).cast("long")
+    first = F.struct(F.lit(k["start"]).alias("rate"), F.lit(0.0).alias("best"), zero.alias("streak"), F.lit(0.0).alias("pause_until"))
+
+    def step(s: Column, e: Column) -> Column:
+        streak = F.when(e["tick"], s["streak"]).when(e["bad"], s["streak"] + 1).otherwise(F.greatest(zero, s["streak"] - 1))
+        hits = ~e["tick"] & (streak >= hit["streak"])
+        after = grid_step(s, e["bad_frac"], e["err_frac"], F.lit(cap))
+        rate = F.when(e["tick"], after["rate"]).when(hits, F.greatest(F.lit(k["low"]), s["rate"] * k["severe"])).otherwise(s["rate"])
+        until = F.when(hits, F.greatest(s["pause_until"], e["at"] + hit["pause_s"])).otherwise(s["pause_until"])
+        return F.struct(rate.alias("rate"), F.when(e["tick"], after["best"]).otherwise(s["best"]).alias("best"), F.when(hits, zero).otherwise(streak).alias("streak"), until.alias("pause_until"))
+
+    return fold(events, keys, order, ["at", "tick", "bad", "bad_frac", "err_frac"], first, step).select(*keys, "state.rate", "state.best", "state.pause_until")
+
+
+def peaks(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """The rows with peak: the largest value of the key up to each row."""
+    from pyspark.sql import Window
+
+    return df.withColumn("peak", F.max(value).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))

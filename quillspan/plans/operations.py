@@ -32,11 +32,11 @@ def query(sql: str | None):
 
 _FAMILIES = """fam AS (SELECT family, map_id, path_fmt FROM (SELECT *, CASE WHEN path_fmt LIKE '%/maps/%' THEN 'maps' ELSE 'plugins' END AS family, row_number() OVER (PARTITION BY (path_fmt LIKE '%/maps/%'), map_id ORDER BY seq) AS r FROM items WHERE tier LIKE 'h1%') WHERE r = 1),
 ser AS (SELECT map_id, path_fmt FROM (SELECT *, row_number() OVER (PARTITION BY map_id ORDER BY seq) AS r FROM items) WHERE r = 1),
-hit AS (SELECT map_id, t0 AS ts, replace(replace(path_fmt, '{map_id}', map_id), '{ts_ms}', CAST(t0 AS VARCHAR)) AS url FROM items WHERE seq % 50 = 0)"""
+hit AS (SELECT map_id, t0 AS ts, replace(replace(path_fmt, '{map_id}', map_id), '{ts_ms}', CAST(t0 AS VARCHAR)) AS url FROM items)"""
 
 
 def _hits(spark, d):
-    x = items(spark, d).where("seq % 50 = 0")
+    x = items(spark, d)
     return x.select("map_id", F.col("t0").alias("ts_ms"), K.render_url(F.col("path_fmt"), F.col("map_id"), F.col("t0")).alias("url"))
 
 

@@ -48,15 +48,15 @@ def order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """k, lo, hi of every seventeenth line by part: one to three days from its shipping on."""
-    x = table(spark, sf_dir, "lineitem").where("l_partkey % 17 = 0")
+    """k, lo, hi of the lines that were returned: one to three days from their shipping on."""
+    x = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     lo = millis(F.col("l_shipdate"))
     return x.select(F.pmod("l_suppkey", F.lit(100)).alias("k"), lo.alias("lo"), (lo + (1 + F.pmod("l_orderkey", F.lit(3))) * DAY_MS).alias("hi"))
 
 
 WINDOWS = """
 win AS (SELECT o_custkey % 100 AS k, epoch_us(o_orderdate) // 1000 AS lo, epoch_us(o_orderdate) // 1000 + (CAST(floor(o_totalprice) AS BIGINT) % 9) * 86400000 AS hi, o_orderpriority AS label FROM orders),
-ship AS (SELECT l_suppkey % 100 AS k, epoch_us(l_shipdate) // 1000 AS lo, epoch_us(l_shipdate) // 1000 + (1 + l_orderkey % 3) * 86400000 AS hi FROM lineitem WHERE l_partkey % 17 = 0)"""
+ship AS (SELECT l_suppkey % 100 AS k, epoch_us(l_shipdate) // 1000 AS lo, epoch_us(l_shipdate) // 1000 + (1 + l_orderkey % 3) * 86400000 AS hi FROM lineitem WHERE l_returnflag = 'R')"""
 
 
 def merged_sql(name: str, source: str, keys: str = "k", touch: int = 0) -> str:

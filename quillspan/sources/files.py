@@ -150,6 +150,18 @@ def canonical_hash(document: Any) -> str:
     return hashlib.sha256(canonical_json(document).encode()).hexdigest()
 
 
+def write_epoch_file(spark: SparkSession, path: str, document: Any) -> str:
+    """Writes an epoch's specification, indented by one and with a newline at its end; the hash of its bytes."""
+    data = (json.dumps(document, indent=1) + "\n").encode()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        stream.write(data)
+    finally:
+        stream.close()
+    return hashlib.sha256(data).hexdigest()
+
+
 def load_json(spark: SparkSession, path: str, default: Any = None) -> Any:
     """A small document, or the default if it isn't there or can't be read."""
     try:

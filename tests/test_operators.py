@@ -165,6 +165,19 @@ def test_archives(spark):
     assert got[0].v.zip_entries == 15 and len(got[0].v.zip_names_sample) == 12
     assert got[1].v.zip_ok and not got[1].v.zip_crc_ok and got[2].v.zip_magic_ok and not got[2].v.zip_ok
     assert got[3].v.html_rejected and got[3].h and got[0].m and not got[6].m and got[4].v.bytes == 0
+    assert [got[i].v.fault for i in (0, 1, 2, 3, 4, 6)] == [None, "member", "structure", "html", "magic", "magic"] and got[5].v is None
+
+
+def test_ordinals_outside_the_universe_are_an_error(spark):
+    df = spark.createDataFrame([(0,), (9,)], "ordinal long")
+    assert O.in_universe(df, 10).count() == 2
+    for total in (9, 0):
+        try:
+            O.in_universe(df, total).collect()
+        except Exception as e:
+            assert "outside the universe" in str(e)
+        else:
+            raise AssertionError
 
 
 def test_last_json():

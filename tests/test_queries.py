@@ -5,12 +5,12 @@ import math
 import duckdb
 import pytest
 
-from quillspan.plans import coverage, operations
+from quillspan.plans import coverage, operations, records
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = coverage.QUERIES | operations.QUERIES
-SQL = coverage.SQL | operations.SQL
+QUERIES = coverage.QUERIES | operations.QUERIES | records.QUERIES
+SQL = coverage.SQL | operations.SQL | records.SQL
 
 
 @pytest.fixture(scope="module")

@@ -82,3 +82,13 @@ def test_chunk_dump(spark, tmp_path):
     none = spark.createDataFrame([], "pid string, done boolean")
     assert [r.pid for r in claimable(p, none, none).collect()] == ["c1-00009", "c2-00001", "b00001", "b00002"]
     assert c.withColumn("x", F.lit(1)).count() == 2
+
+
+def test_epoch_files(spark, tmp_path):
+    import hashlib
+    import json
+
+    doc = {"epoch": 3, "tiers": [{"tier_id": "t", "ranges": []}]}
+    sha = S.write_epoch_file(spark, f"file://{tmp_path}/epoch_3.json", doc)
+    data = (tmp_path / "epoch_3.json").read_bytes()
+    assert sha == hashlib.sha256(data).hexdigest() and json.loads(data) == doc and data.startswith(b'{\n "epoch"') and data.endswith(b"}\n")
