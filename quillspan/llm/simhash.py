@@ -174,8 +174,8 @@ class Forest:
         return p != q
 
 
-def _spanning(fps: np.ndarray, keep: Filter, tiers: tuple[float, ...]) -> Iterator[tuple[int, int]]:
-    """Links that join the members of one list as all of its links would.
+def _spanning(fps: np.ndarray, keep: Filter, tiers: tuple[float, ...]) -> Iterator[tuple[int, int, int]]:
+    """Links, with their differing bits, that join the members of one list as all of its links would.
 
     A member's links to members not yet reached are followed until no more are found, so that a large group costs few
     comparisons. tiers: shares of the most differing bits; close links are followed first, wider ones only join what
@@ -189,15 +189,15 @@ def _spanning(fps: np.ndarray, keep: Filter, tiers: tuple[float, ...]) -> Iterat
             front, open_ = [int(open_[0])], open_[1:]
             while front and len(open_):
                 a = front.pop()
-                hits, _ = own(fps[open_] ^ fps[a])
+                hits, bits = own(fps[open_] ^ fps[a])
                 if k:
-                    for j in open_[hits].tolist():
+                    for j, d in zip(open_[hits].tolist(), bits.tolist(), strict=True):
                         if label[j] != label[a]:
-                            yield a, j
+                            yield a, j, d
                             label[label == label[j]] = label[a]
                     hits = np.union1d(hits, np.flatnonzero(label[open_] == label[a]))  # a group by closer links is reached together
                 else:
-                    yield from ((a, j) for j in open_[hits].tolist())
+                    yield from ((a, j, d) for j, d in zip(open_[hits].tolist(), bits.tolist(), strict=True))
                     label[open_[hits]] = label[a]
                 front.extend(open_[hits].tolist())
                 open_ = np.delete(open_, hits)
@@ -328,7 +328,7 @@ def _long_lists(batches_of: DataFrame, keys: Callable[[pa.RecordBatch], Iterator
 
 
 def _meet(lists: DataFrame, n: int, names: list[str], keep: Filter, tiers: tuple[float, ...]) -> DataFrame:
-    """a, b: links between entries (key and names) that share a list, as forests, task by task. n: how many entries there are."""
+    """a, b, bits: links between entries (key and names) that share a list, as forests, task by task. n: how many entries there are."""
     words_ = [c for c in names if c != "id"]
     node = len(names) - 1 if "id" in names else 0
 
@@ -337,15 +337,15 @@ def _meet(lists: DataFrame, n: int, names: list[str], keep: Filter, tiers: tuple
         forest, out, held, size = Forest(), [], [], 0
 
         def take() -> pa.RecordBatch:
-            links = np.array(out, np.uint64).reshape(-1, 2)
+            links = np.array(out, np.uint64).reshape(-1, 3)
             forest.up.clear()
             out.clear()
-            return _rows([links[:, 0], links[:, 1]], ["a", "b"])
+            return _rows(list(links.T), ["a", "b", "bits"])
 
-        def link(ids: np.ndarray, i: Iterable[int], j: Iterable[int]) -> None:
-            for a, b in zip(ids[i].tolist(), ids[j].tolist(), strict=True):
+        def link(ids: np.ndarray, i: Iterable[int], j: Iterable[int], bits: Iterable[int]) -> None:
+            for a, b, d in zip(ids[i].tolist(), ids[j].tolist(), bits, strict=True):
                 if a != b and forest.join(a, b):
-                    out.append((a, b))
+                    out.append((a, b, d))
 
         def close() -> Iterator[pa.RecordBatch]:
             key = np.concatenate([b["key"].to_numpy() for b in held])
@@ -361,11 +361,11 @@ def _meet(lists: DataFrame, n: int, names: list[str], keep: Filter, tiers: tuple
             if found:
                 i, j, bits = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.argsort(bits, kind="stable")
-                link(ids[at], i[order], j[order])
+                link(ids[at], i[order], j[order], bits[order].tolist())
             for k in np.flatnonzero(lengths > SHORT_LIST).tolist():
                 s, e = int(starts[k]), int(starts[k] + lengths[k])
-                for a, b in _spanning(fps[s:e], keep, tiers):
-                    link(ids[s:e], [a], [b])
+                for a, b, d in _spanning(fps[s:e], keep, tiers):
+                    link(ids[s:e], [a], [b], [d])
                 if len(forest.up) > KEPT_LINKS:
                     yield take()
             if len(forest.up) > KEPT_LINKS:
@@ -388,7 +388,7 @@ def _meet(lists: DataFrame, n: int, names: list[str], keep: Filter, tiers: tuple
         yield take()
 
     tasks = max(1, ceil_div(n, ENTRIES_PER_TASK))
-    return lists.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    return lists.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, bits long")
 
 
 def _in_cells(lists: DataFrame, long: DataFrame, names: list[str]) -> DataFrame:
@@ -403,7 +403,7 @@ def _in_cells(lists: DataFrame, long: DataFrame, names: list[str]) -> DataFrame:
 
 
 def links_of(nodes: DataFrame, sets: list[tuple[int, ...]], most_bits: int, least_bytes: int, width: int, words_: int, named: bool = False, finer: Iterable[Deal] = (), tiers: tuple[float, ...] = (1.0,)) -> DataFrame:
-    """a, b: a spanning forest of the links among fingerprints (column fp, binary), task by task.
+    """a, b, bits: a spanning forest of the links among fingerprints (column fp, binary), task by task.
 
     sets: the positional bytes that key the posting lists. Entries carry the first words_ 64-bit words of a fingerprint;
     most_bits and least_bytes are of these. a and b are the fingerprints as numbers if that is all of them, and the
@@ -470,7 +470,7 @@ def links_of(nodes: DataFrame, sets: list[tuple[int, ...]], most_bits: int, leas
 
 
 def hamming_links(distinct: DataFrame, width: int = 64, most_bits: int = 4) -> DataFrame:
-    """a, b: a spanning forest of the links among distinct fingerprints (column fp), as numbers if they have 64 bits.
+    """a, b, bits: a spanning forest of the links among distinct fingerprints of 64 bits (column fp), as numbers.
 
     Exact: pairs within most_bits share at least as many positional bytes as the index guarantees.
     """
@@ -671,7 +671,7 @@ def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width:
     fp names the shingle set. Fingerprints propose groups: a pair at exactly `similarity` meets with probability
     `recall`, more similar ones more surely, and is proposed if the words that the index carries differ in no more bits
     than the least favourable pair of sets is expected to, plus `slack` standard deviations. Every link is then verified on
-    the sets of both texts: first the proposals' spanning forest, then what it leaves apart of a proposed group.
+    the sets of both texts: first each set's closest proposals, then what it leaves apart of a proposed group.
     """
     keys = written(_sets(docs, n, similarity, width), "sets")
     short = F.conv(F.substring(F.hex("sid"), 1, 16), 16, -10).cast("long")
@@ -699,7 +699,10 @@ def similar_groups(docs: DataFrame, n: int = 5, similarity: float = 0.8, width:
     # rows alike in doc_id and text give a set more than once
     found = written(text.mapInArrow(hashes, "sid binary, hashes binary").dropDuplicates(["sid"]), "hashes")
     ends = member.select("id", "sid")
-    tried = forest.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select("x", "y")
+    # every task that met a large group has a forest of it: of all these links each set tries its closest ones first
+    near = forest.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("n")).select("a", F.col("n.b").alias("b"))
+    near = near.unionAll(forest.groupBy("b").agg(F.min(F.struct("bits", "a")).alias("n")).select(F.col("n.a").alias("a"), "b"))
+    tried = near.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select("x", "y")
     tried = written(tried.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "tried")
     sure = written(_verified(tried, found, similarity), "verified")
     parts = components(sure)

@@ -112,7 +112,7 @@ def test_spanning_joins_what_all_links_join():
     want = brute_components(list(range(len(fps))), [int(f) for f in fps], 3)
     for tiers in ((1.0,), (0.4, 0.7, 1.0)):
         forest = Forest()
-        links = [forest.join(a, b) for a, b in simhash._spanning(fps[:, None], Filter(3, 0), tiers)]
+        links = [forest.join(a, b) for a, b, _ in simhash._spanning(fps[:, None], Filter(3, 0), tiers)]
         assert all(links) and [forest.root(i) for i in range(len(fps))] == want
 
 
