@@ -52,16 +52,15 @@ class Network:
         self.p = [small(len(WINDOW), VOCABULARY + 1, WIDTH), np.zeros(WIDTH, np.float32), small(WIDTH, CLASSES), np.zeros(CLASSES, np.float32), small(CLASSES, WIDTH, PER_CLASS), np.zeros((CLASSES, PER_CLASS), np.float32)]
         self.squares = [np.full_like(x, 1e-4) for x in self.p]
 
-    @property
-    def state(self) -> np.ndarray:
-        """Parameters, and the squares that set their steps, as one vector."""
-        return np.concatenate([x.ravel() for x in (*self.p, *self.squares)])
+    def state(self, squares: bool) -> np.ndarray:
+        """Parameters, and the squares that set their steps if these are wanted, as one vector."""
+        return np.concatenate([x.ravel() for x in (*self.p, *(self.squares if squares else ()))])
 
-    @state.setter
-    def state(self, v: np.ndarray) -> None:
+    def become(self, v: np.ndarray) -> None:
+        """Takes up parameters, and squares if v has them."""
         at = 0
         for part in (self.p, self.squares):
-            for i, x in enumerate(part):
+            for i, x in enumerate(part if at < len(v) else ()):
                 part[i] = v[at : at + x.size].reshape(x.shape).astype(np.float32)
                 at += x.size
 
@@ -81,12 +80,14 @@ class Network:
         n = len(target)
         h = self._hidden(context)
         cls, word = target // PER_CLASS, target % PER_CLASS
-        z = h @ wc + bc
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
-        s = p.sum(1, keepdims=True)
+        p = h @ wc
+        p += bc
+        p -= p.max(1, keepdims=True)
         rows = np.arange(n)
-        out = z[rows, cls] - np.log(s[:, 0])
+        out = p[rows, cls]
+        np.exp(p, out=p)
+        s = p.sum(1, keepdims=True)
+        out -= np.log(s[:, 0])
         order = np.argsort(cls.astype(np.uint8), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         if grads is not None:
@@ -100,12 +101,14 @@ class Network:
             if not len(at):
                 continue
             hc = h[at]
-            z = hc @ ww[c] + bw[c]
-            z -= z.max(1, keepdims=True)
-            p = np.exp(z)
+            p = hc @ ww[c]
+            p += bw[c]
+            p -= p.max(1, keepdims=True)
+            r, w = rows[: len(at)], word[at]
+            own = p[r, w]
+            np.exp(p, out=p)
             s = p.sum(1, keepdims=True)
-            r, w = np.arange(len(at)), word[at]
-            out[at] += z[r, w] - np.log(s[:, 0])
+            out[at] += own - np.log(s[:, 0])
             if grads is not None:
                 p /= s
                 p[r, w] -= 1
@@ -163,7 +166,9 @@ class Vocabulary:
         return Vocabulary, (self.frequent,)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        ws = words(text, fold=True)
+        return self.of(words(text, fold=True))
+
+    def of(self, ws: list[str]) -> np.ndarray:
         return np.fromiter(map(self.ids.__getitem__, ws), np.int32, len(ws))
 
 
@@ -251,9 +256,9 @@ def _encoded(docs: DataFrame, vocab: Vocabulary, held: dict[str, float]) -> Data
         for batch in slices(batches):
             rows: list[tuple] = []
             for t in batch[2].to_pylist():
-                ids = vocab(t)
+                ws = words(t, fold=True)
+                ids = vocab.of(ws)
                 others = np.flatnonzero(ids >= VOCABULARY - BUCKETS).tolist()
-                ws = words(t, fold=True) if others else []
                 found = [held.get(ws[i]) for i in others]
                 rare = [ws[i] for i, x in zip(others, found, strict=True) if x is None]
                 rows.append((len(ids), ids.astype(np.uint16).tobytes(), float(sum(x for x in found if x is not None)), rare))
@@ -287,13 +292,13 @@ def _trained(encoded: DataFrame) -> Network:
         if low < high:
             shards = 1 if k == 0 else max(1, round(tokens * (high - low) / SHARD_TOKENS))
             shard = F.pmod(F.shiftright("h", 20), F.lit(shards)).cast("int")
-            _round(network, encoded.where((place >= low) & (place < high)).select(shard.alias("shard"), "h", "ids"), shards)
+            _round(network, encoded.where((place >= low) & (place < high)).select(shard.alias("shard"), "h", "ids"), shards, k == 0)
     return network
 
 
-def _round(network: Network, rows: DataFrame, shards: int) -> None:
-    """Trains a copy of the network on each shard of the rows (shard, h, ids), in the order of the hash; leaves the average."""
-    start = network.state
+def _round(network: Network, rows: DataFrame, shards: int, squares: bool) -> None:
+    """Trains a copy of the network on each shard of the rows (shard, h, ids), in the order of the hash; leaves the average, of the squares too if asked."""
+    start = network.state(True)
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,19 +319,19 @@ def _round(network: Network, rows: DataFrame, shards: int) -> None:
         batch = next(rest, None)
         while batch is not None:
             copy = Network()
-            copy.state = start
+            copy.become(start)
             tokens = _train(copy, documents(batch["shard"][0].as_py(), batch, rest))
             if tokens:
-                v = np.concatenate([copy.state * np.float32(tokens), np.array([tokens], np.float32)])
+                v = np.concatenate([copy.state(squares) * np.float32(tokens), np.array([tokens], np.float32)])
                 yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary())], names=["v"])
             batch = own.pop() if own else None
 
     dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "h", "ids")
     copies = written(dealt.mapInArrow(run, "v binary"), "networks")
-    total = summed(copies, len(start) + 1, dtype=np.float32)
+    total = summed(copies, len(network.state(squares)) + 1, dtype=np.float32)
     drop(copies)
     if total is not None:
-        network.state = total[:-1] / total[-1]
+        network.become(total[:-1] / total[-1])
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -349,9 +354,9 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
             ids = [np.frombuffer(x, np.uint16).astype(np.int32) for x in batch["ids"].to_pylist()]
             total = np.zeros(len(ids))
             context, target, own = windows(ids)
-            for at in range(0, len(target), 1 << 15):
-                lp = network.log_probability(context[:, at : at + (1 << 15)], target[at : at + (1 << 15)])
-                total += np.bincount(own[at : at + (1 << 15)], lp.astype(float), len(ids))
+            for at in range(0, len(target), STEP_TOKENS):  # blocks that stay in a core's cache
+                lp = network.log_probability(context[:, at : at + STEP_TOKENS], target[at : at + STEP_TOKENS])
+                total += np.bincount(own[at : at + STEP_TOKENS], lp.astype(float), len(ids))
             total += batch["held"].to_numpy()
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tokens"], pa.array(total), batch["rare"]], names=["doc_id", "tokens", "total", "rare"])
 
