@@ -481,13 +481,29 @@ def hamming_links(distinct: DataFrame, width: int = 64, most_bits: int = 4) -> D
     return links_of(distinct, sets, most_bits, n - most_bits, width, width // 64, finer=finer_lists(sets, n, most_bits))
 
 
+def _without_cycles(edges: DataFrame) -> DataFrame:
+    """The edges (a, b) that join something new in their partition: others would be carried through every step."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            yield batch.filter(pa.array([forest.join(a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_()))
+            if len(forest.up) > KEPT_LINKS:
+                forest.up.clear()
+
+    return edges.mapInArrow(run, edges.schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of each node's component, for nodes with an edge (columns a, b) other than that smallest one.
 
     Alternates large-star and small-star steps until the edges stand still; each step's edges are a table, and the
     one before it is deleted.
     """
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    every = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    edges = written(_without_cycles(every), "edges")
+    drop(every)
     mark = _mark(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
