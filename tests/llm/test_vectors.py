@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from quillspan.llm.ann import nearest
-from quillspan.llm.topk import ImpactBlock, exact_top_k, top
+from quillspan.llm import topk
+from quillspan.llm.topk import ImpactBlock, Tally, exact_top_k, top
 
 
 def usable(rows, zero):
@@ -65,6 +66,45 @@ def test_top_proof_holds_on_any_shape():
             assert [(-int(s), int(i)) for s, i in zip(score, got)] == want
 
 
+def test_top_leaves_postings_unread_by_proof():
+    rng = np.random.default_rng(5)
+    x = np.floor(64 * (lambda v: v / np.linalg.norm(v, axis=1, keepdims=True))(rng.normal(size=(2000, 64))))
+    x[1000:] = x[:1000] + rng.integers(-3, 4, (1000, 64))
+    ids = np.arange(2000)
+    block = ImpactBlock(ids, x)
+    lists = [(d, r, v) for segment in block.segments for d, r, v in segment]
+    assert block.postings == np.count_nonzero(x) == sum(len(r) for _, r, _ in lists)
+    assert all((x[r, d] == v).all() for d, r, v in lists)
+    highest = [max(np.abs(v).max() for _, _, v in segment) for segment in block.segments]
+    assert highest == sorted(highest, reverse=True)
+    want = [sorted((-int(x[n] @ v), i) for i, v in enumerate(x) if i != n)[:5] for n in range(50)]
+    plain, floored = Tally(), Tally()
+    for tally, floors in ((plain, None), (floored, np.array([-float(w[-1][0]) for w in want]))):
+        for n, got, score in top(ids[:50], x[:50], [block], 5, floors, tally):
+            assert [(-int(s), int(i)) for s, i in zip(score, got)] == want[n]
+    assert plain.all == floored.all == 50 * block.postings
+    assert floored.read <= plain.read < 0.9 * plain.all
+
+
+def test_top_k_over_many_cells(spark, monkeypatch):
+    """Cells of a few rows, repeated vec_ids and copies: floors of the first cell lose nothing."""
+    monkeypatch.setattr(topk, "CELL_VECTORS", 40)
+    monkeypatch.setattr(topk, "CELL_QUERIES", 5)
+    rng = np.random.default_rng(6)
+    vecs = rng.normal(size=(30, 8))
+    rows = [(int(i), [float(c) for c in vecs[rng.integers(0, 30)]]) for i in [*range(200), *range(190, 200), *range(280, 301)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, exact_top_k(df).collect())) == brute_top(df.collect())
+    twice = df.unionAll(df.where("vec_id % 20 = 0"))
+    want = {}
+    e = [(i, np.floor(64 * v)) for i, v in usable(twice.collect(), True)]
+    for i, q in e:
+        if i % 20 == 0:
+            want.setdefault(i, []).extend((-int(q @ v), j) for j, v in e if j != i)
+    want = sorted((i, n + 1, j, -s) for i, all_ in want.items() for n, (s, j) in enumerate(sorted(all_)[:20]))
+    assert sorted(map(tuple, exact_top_k(twice).collect())) == want
+
+
 def recall(df, rows):
     want, got = brute_near(rows), {}
     for r in df.collect():
