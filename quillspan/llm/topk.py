@@ -27,9 +27,9 @@ from .vectors import matrix, valid, widened
 CELL_VECTORS = 8192
 CELL_QUERIES = 2048
 #: Rows of the index that are worked on together, and queries.
-BLOCK, QUERIES = 2048, 256
+BLOCK, QUERIES = 2048, 128
 #: Cost of a component when a possible member is rescored, in postings.
-RESCORING = 2
+RESCORING = 1
 
 
 class ImpactBlock:
@@ -80,29 +80,32 @@ def top(query_ids: np.ndarray, q: np.ndarray, blocks: list[ImpactBlock], k: int,
     for block in blocks:
         if tally:
             tally.all += len(q) * block.postings
+        # single precision where it holds every sum of these integers
+        kind = np.float32 if (np.abs(q).max(0) @ np.abs(block.x).max(0)) < 1 << 24 else np.float64
         # vectors down, queries across: a posting list adds to whole rows
         possible = block.ids[:, None] != query_ids[None, :]
         live_x, live_q = np.arange(len(block.ids)), np.arange(len(q))
         at = live_x.copy()  # where a row of the block stands among the live ones, or -1
-        acc = np.zeros(possible.shape)
+        acc = np.zeros(possible.shape, kind)
         unread, members = block.postings, []
         open_q = np.full(len(q), True)
         for segment, left in zip(block.segments, block.left, strict=True):
-            own = q[live_q]
+            own = np.ascontiguousarray(q[live_q].T, kind)
             for dim, rows, values in segment:
                 rows = at[rows]
                 if len(live_x) < len(at):
                     rows, values = rows[rows >= 0], values[rows >= 0]
-                acc[rows] += values[:, None] * own[:, dim]
+                acc[rows] += values.astype(kind)[:, None] * own[dim]
                 if tally:
                     tally.read += len(rows) * len(live_q)
-            bound = left[live_x, None] * norm[live_q] * (1 + 1e-12)
             floor = np.maximum(best_score[live_q, k - 1], floors[live_q])
-            if len(live_x) > k:  # the k-th highest score that is sure in this block
+            bound = left[live_x, None] * norm[live_q] * (1 + 1e-12)
+            if len(live_x) > k and np.isneginf(floor).any():  # the k-th highest score that is sure in this block
                 sure = np.where(possible, acc - bound, -np.inf)
                 floor = np.maximum(floor, np.partition(sure, len(live_x) - k, axis=0)[len(live_x) - k])
             # sums of integers are exact, only the bound is rounded
-            possible &= acc + bound >= floor
+            bound += acc
+            possible &= bound >= floor
             unread -= sum(len(rows) for _, rows, _ in segment)
             # a query whose possible members are rescored for less than it takes to read on stops here
             done = possible.sum(0) * RESCORING * block.x.shape[1] <= unread * len(live_x) / len(at)
@@ -119,19 +122,16 @@ def top(query_ids: np.ndarray, q: np.ndarray, blocks: list[ImpactBlock], k: int,
                 at[live_x] = np.arange(len(live_x))
         else:
             members.extend((own, live_x[possible[:, n]]) for n, own in enumerate(live_q) if open_q[n])
-        i = np.repeat([own for own, _ in members], [len(rows) for _, rows in members])
-        j = np.concatenate([rows for _, rows in members]) if members else i
-        if not len(i):
-            continue
-        score = np.einsum("ij,ij->i", q[i], block.x[j])  # exact: integers below 2^53
-        ids = block.ids[j]
-        cuts = np.cumsum([0, *(len(rows) for _, rows in members)])
-        for (own, _), s, e in zip(members, cuts, cuts[1:], strict=False):
-            if s == e:
+        for own, rows in members:
+            if not len(rows):
                 continue
-            sc, di = np.concatenate([best_score[own], score[s:e]]), np.concatenate([best_id[own], ids[s:e]])
-            order = np.lexsort((di, -sc))[:k]
-            best_score[own], best_id[own] = sc[order], di[order]
+            score, ids = block.x[rows] @ q[own], block.ids[rows]  # exact: integers below 2^53
+            if len(rows) > k:
+                high = score >= np.partition(score, len(score) - k)[len(score) - k]
+                score, ids = score[high], ids[high]
+            score, ids = np.concatenate([best_score[own], score]), np.concatenate([best_id[own], ids])
+            order = np.lexsort((ids, -score))[:k]
+            best_score[own], best_id[own] = score[order], ids[order]
     for n in range(len(q)):
         found = best_score[n] > -np.inf
         yield n, best_id[n][found], best_score[n][found]
