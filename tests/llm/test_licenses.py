@@ -49,6 +49,15 @@ def test_damaged_templates_and_other_text(spark, model):
     assert not [i for i in got if i >= 1000]
 
 
+def test_foreign_licences_are_unknown(spark, model):
+    """Some of these names are among the examples, others (WTFPL, NCSA, PostgreSQL, Vim) aren't."""
+    foreign = ["SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: WTFPL", "SPDX-License-Identifier: NCSA", "Eclipse Public License 2.0", "Licensed under the PostgreSQL License.", "Released under the Vim License.", "Licensed under the Eclipse Public License, version 2.0."]
+    own = {"SPDX-License-Identifier: ISC": "ISC", "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0", "SPDX-License-Identifier: MIT": "MIT", "License: MIT": "MIT"}
+    rows = list(enumerate([*foreign, *own]))
+    got = {r.doc_id: r.license for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect() if r.confirmed}
+    assert got == {i: own[t] for i, t in rows if t in own}
+
+
 def test_long_paragraphs_go_through_in_windows(spark, model):
     text = "word " * 500 + TEMPLATES["MIT"][0] + " word" * 500
     rows = scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
