@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from .common import matching, released, slices, summed
 from .features import char_ngrams, has_letter
 
-#: Hashed n-grams: 2 to the power of this.
+#: Hashed n-grams: 2 to the power of this, fewer where there are many languages.
 BITS = 16
-#: Bound of the labelled training sample, shared evenly by the languages; documents are chosen by a hash.
+#: Bound of the labelled training sample, shared evenly by the languages, with at least LEAST_EACH of each; documents are chosen by a hash.
 MOST_ROWS = 4_000
-#: Bound of the number of languages: the most frequent ones are learned.
-MOST_LANGUAGES = 500
+LEAST_EACH = 8
+#: Bound of the model's size, n-grams times languages. Every language is learned; more than fit in with FEWEST_BITS are an error.
+MOST_WEIGHTS = 1 << 23
+FEWEST_BITS = 8
 UNDETERMINED = "und"
 
 
@@ -52,7 +54,7 @@ class Model:
 
 def counted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a whole text and their TF-IDF values, of Euclidean length 1."""
-    idx, count = distinct(char_ngrams(text, BITS))
+    idx, count = distinct(char_ngrams(text, len(idf).bit_length() - 1))
     x = np.log1p(count) * idf[idx]
     return idx, x / max(1e-12, float(np.sqrt(x @ x)))
 
@@ -66,9 +68,9 @@ def distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[edge - 1].astype(np.int64), np.diff(edge, prepend=0)
 
 
-def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 2e-4, l2: float = 1e-4, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 2e-4, l2: float = 1e-4, seed: int = 0, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Follow-the-regularised-leader, per coordinate, on the multinomial loss."""
-    z, n = np.zeros((1 << BITS, classes)), np.zeros((1 << BITS, classes))
+    z, n = np.zeros((1 << bits, classes)), np.zeros((1 << bits, classes))
     zb, nb = np.zeros(classes), np.zeros(classes)
 
     def leader(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
@@ -115,7 +117,15 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+def bits_for(languages: int) -> int:
+    """As many bits of hashed n-grams as keep the model within its bound."""
+    bits = min(BITS, (MOST_WEIGHTS // max(1, languages)).bit_length() - 1)
+    if bits < FEWEST_BITS:
+        raise ValueError(f"over {MOST_WEIGHTS >> FEWEST_BITS} values of lang: more than a model of bounded size can tell apart")
+    return bits
+
+
+def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[np.ndarray, int]:
     """How many documents have each n-gram, over all of docs (column text), and how many documents there are.
 
     Each task counts its documents in one vector.
@@ -123,34 +133,39 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros((1 << BITS) + 1)
+        df = np.zeros((1 << bits) + 1)
         for batch in slices(batches):
             for t in batch[0].to_pylist():
-                df[distinct(char_ngrams(t, BITS))[0]] += 1
+                df[distinct(char_ngrams(t, bits))[0]] += 1
             df[-1] += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary())], names=["v"])
 
-    df = summed(docs.select("text").mapInArrow(count, "v binary"), (1 << BITS) + 1)
+    df = summed(docs.select("text").mapInArrow(count, "v binary"), (1 << bits) + 1)
     if df is None:
-        return np.zeros(1 << BITS), 0
+        return np.zeros(1 << bits), 0
     return df[:-1], int(df[-1])
 
 
 def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
-    """Learns from text and non-null lang of the documents that aren't held out."""
+    """Learns every language, from text and non-null lang of the documents that aren't held out.
+
+    More values of lang than a model of bounded size can tell apart (32,768) are a ValueError.
+    """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     own = own.where("lang is not null and text is not null").where(fold(F.col("doc_id")) != 0)
-    by_lang = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r.lang for r in by_lang)
+    by_lang = own.groupBy("lang").count().orderBy("lang").limit(1 + (MOST_WEIGHTS >> FEWEST_BITS)).collect()
+    languages = [r.lang for r in by_lang]
+    bits = bits_for(len(languages))
     if not languages:
-        return Model([], np.zeros((1 << BITS, 0)), np.ones(1 << BITS), np.zeros(0))
-    df, n = document_frequencies(own)
+        return Model([], np.zeros((1 << bits, 0)), np.ones(1 << bits), np.zeros(0))
+    df, n = document_frequencies(own, bits)
     idf = np.log((1 + n) / (1 + df)) + 1
-    each = max(1, most_rows // len(languages))
-    share = F.create_map(*[x for r in by_lang for x in (F.lit(r.lang), F.lit(min(1.0, 1.1 * each / r["count"])))])
+    each = max(LEAST_EACH, most_rows // len(languages))
+    table = [(r.lang, i, min(1.0, 1.1 * each / r["count"])) for i, r in enumerate(by_lang)]
+    numbered = F.broadcast(docs.sparkSession.createDataFrame(table, "lang string, y int, share double"))  # of bounded size, by bits_for
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    number = F.create_map(*[x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))])
-    sample = own.where(h < share[F.col("lang")]).select("doc_id", "text", number[F.col("lang")].alias("y"), (fold(F.col("doc_id")) == 1).alias("calibrate")).limit(2 * most_rows + len(languages))
+    sample = own.join(numbered, "lang").where(h < F.col("share")).select("doc_id", "text", "y", (fold(F.col("doc_id")) == 1).alias("calibrate"))
+    sample = sample.limit(2 * most_rows + 2 * LEAST_EACH * len(languages))
 
     @released
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +179,7 @@ def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     data = [(np.frombuffer(r.i, np.int32), np.frombuffer(r.x, np.float32).astype(float), r.y) for r in rows]
     learn = [d for d, r in zip(data, rows, strict=True) if not r.calibrate] or data
     check = [d for d, r in zip(data, rows, strict=True) if r.calibrate]
-    w, b = train_ftrl(learn, len(languages))
+    w, b = train_ftrl(learn, len(languages), bits=bits)
     model = Model(languages, w, idf, b)
     if check:
         model.temperature = fit_temperature(np.array([x @ w[i] + b for i, x, _ in check]), np.array([y for *_, y in check]))

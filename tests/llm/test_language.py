@@ -1,8 +1,10 @@
 import zlib
 
 import numpy as np
+import pytest
 
-from quillspan.llm.language import BITS, document_frequencies, fit_temperature, language, with_language
+from quillspan.llm import language as module
+from quillspan.llm.language import BITS, bits_for, document_frequencies, fit, fit_temperature, identify, language, with_language
 from quillspan.llm.features import char_ngrams, has_letter, word_hashes
 
 
@@ -52,3 +54,31 @@ def test_temperature_undoes_a_scale():
     p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
     y = np.array([rng.choice(3, p=q) for q in p])
     assert abs(fit_temperature(z * 4, y) - 4) < 0.5
+
+
+def test_predictions_by_brute_force(spark):
+    """Each row's language and score are those of a plain product over the whole text's n-grams, one text at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = fit(docs)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    for r in identify(docs, model).collect():
+        x = np.zeros(len(model.idf))
+        for g in char_ngrams(texts[r.doc_id], BITS).tolist():
+            x[g] += 1
+        x = np.log1p(x) * model.idf
+        z = ((x / np.sqrt((x * x).sum())) @ model.weights + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.lang_pred == model.languages[int(p.argmax())] and abs(r.score - p.max()) < 1e-9
+
+
+def test_all_languages_are_learned(spark, monkeypatch):
+    """Many languages get fewer n-grams instead of going unlearned; too many are an error."""
+    assert bits_for(1) == bits_for(128) == BITS and bits_for(129) == 15 and bits_for(32_768) == 8
+    with pytest.raises(ValueError):
+        bits_for(32_769)
+    monkeypatch.setattr(module, "MOST_WEIGHTS", 1 << 17)
+    rows = [(i, " ".join([chr(97 + i % 20) * 3 + chr(97 + i % 20 // 2)] * 9), f"l{i % 20}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs)
+    assert len(model.languages) == 20 and len(model.idf) == 1 << 12
+    assert np.mean([r.lang_pred == rows[r.doc_id][2] for r in identify(docs, model).collect()]) > 0.95
