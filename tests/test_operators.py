@@ -4,6 +4,7 @@ import io
 import random
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from quillspan.operators import expand as E
 from quillspan.operators import ordinals as O
 from quillspan.operators import queue as Q
 from quillspan.operators import telemetry as M
+from quillspan.plans import records
 from quillspan.streaming.queue import advance
 
 
@@ -208,3 +210,20 @@ def test_ownership_and_order(spark):
     assert sorted((r.key, str(r.reject)) for r in Q.ownership(c, e).collect()) == [("a", "None"), ("a", "spec differs"), ("a", "token differs"), ("b", "not running"), ("c", "has a result"), ("d", "no entry")]
     w = lambda *o: spark.createDataFrame([(x, i) for i, x in enumerate(o)], "ordinal long, seq long")
     assert [r.ordinal for r in Q.ordered_work(w(9), w(4, 2), w(1, 2, 3)).collect()] == [9, 4, 2, 1, 3]
+
+
+def test_live_runs_by_age(spark):
+    runs = spark.createDataFrame([(0, "queued", "1970-01-01T02:00:00Z"), (1, "queued", "1970-01-01T01:40:00Z"), (2, "queued", "1970-01-01T01:40:01Z"), (3, "queued", "1970-01-01T01:30:00Z"), (4, "queued", "1970-01-01T01:30:01Z"), (5, "in_progress", "1970-01-01T00:00:00Z"), (6, "completed", "1970-01-01T02:00:00Z"), (7, "queued", "unreadable"), (8, "queued", None)], "id int, status string, created_utc string")
+    ids = lambda **kw: sorted(r.id for r in Q.live_runs(runs, F.lit(7200), **kw).collect())
+    assert ids() == [0, 1, 2, 4, 5] and ids(zombie_min=20) == [0, 2, 5]
+
+
+def test_live_runs_query_around_its_limit(spark, tmp_path):
+    # rows at 20 and 30 minutes before the query's now, and a second to either side of them
+    ages = [0, 1199, 1200, 1201, 1799, 1800, 1801]
+    rows = [(k * 33 + 1, 0, 1_706_000_000 - a) for k, a in enumerate(ages)]
+    spark.createDataFrame(rows, "event_id long, user_id long, at long").selectExpr("event_id", "user_id", "cast(timestamp_seconds(at) as timestamp_ntz) ts").write.parquet(f"{tmp_path}/events.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    got = sorted(r.event_id for r in records.live_runs(spark, str(tmp_path)).collect())
+    assert got == sorted(x for (x,) in duck.execute(records.SQL["live_runs"]).fetchall()) == [1, 34]
