@@ -227,3 +227,11 @@ def test_live_runs_query_around_its_limit(spark, tmp_path):
     duck.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     got = sorted(r.event_id for r in records.live_runs(spark, str(tmp_path)).collect())
     assert got == sorted(x for (x,) in duck.execute(records.SQL["live_runs"]).fetchall()) == [1, 34]
+
+
+def test_overlay_takes_hits_of_equal_rank_by_url(spark):
+    known = spark.createDataFrame([("/p/0",)], "url string")
+    hits = [(f"/p/{k}", 7) for k in range(9, -1, -1)] + [("/p/95", 3), ("/p/95", 9)]
+    for parts in (1, 3, 10):
+        rows = E.overlay(known, spark.createDataFrame(hits, "url string, seq long").repartition(parts)).collect()
+        assert sorted(r.url for r in rows if r.expanded) == ["/p/1", "/p/2", "/p/3", "/p/95"]
