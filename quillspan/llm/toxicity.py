@@ -2,11 +2,13 @@
 
 A linear classifier on the words of a text is trained from confirmed toxic documents and from unlabelled text,
 with the risk of the negative class taken from the unlabelled text and corrected by the share of toxic
-documents in it; where the corrected risk of a batch is negative, its gradient is reversed.
+documents in it; where the corrected risk of a batch is negative, its gradient is reversed. That loss leaves the
+scores timid: what labelled documents say of models that didn't see them calibrates them, by Platt's method.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,9 @@ LEAST_DOCS = 3
 LEAST_DEVIATION = 3.5
 #: Part of the gradient that is reversed where the corrected risk of the negative class is below zero.
 REVERSED = 0.1
+#: Parts of the sample that are left out in turn for the calibration, and the documents of either label that it needs at least.
+PARTS = 3
+LEAST_LABELLED = 20
 THRESHOLD = 0.7
 
 
@@ -120,31 +125,80 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(keys[used], w[:-1][used], float(w[-1]))
 
 
+def platt(z: np.ndarray, y: np.ndarray, prior: float, steps: int = 100) -> tuple[float, float]:
+    """Slope and shift of the logits z under which they are the log odds of the label y, toxic documents being as frequent as `prior`.
+
+    By Newton's method on the log loss, with Platt's targets, under which both stay finite. (1, 0) where no rising line fits.
+    """
+    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
+    target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(y == 1, prior / n1, (1 - prior) / n0)
+    x = np.stack([z, np.ones(len(z))], 1)
+
+    def loss(ab: np.ndarray) -> float:
+        s = x @ ab
+        return float(weight @ (np.logaddexp(0, s) - target * s))
+
+    ab = np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ ab, -30, 30)))
+        g = x.T @ (weight * (p - target))
+        move = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2), g)
+        size = 1.0
+        while size > 1e-6 and loss(ab - size * move) > loss(ab) - 1e-4 * size * float(g @ move):
+            size /= 2
+        ab = ab - size * move
+        if np.abs(size * move).max() < 1e-8:
+            break
+    return (float(ab[0]), float(ab[1])) if ab[0] > 0 and np.isfinite(ab).all() else (1.0, 0.0)
+
+
+def calibrated(model: Model, positive: list[np.ndarray], unlabelled: list[np.ndarray], negative: list[np.ndarray], prior: float) -> Model:
+    """The model with weights and bias under which its scores are probabilities of the label.
+
+    Positive documents and those labelled otherwise (negative, of the unlabelled ones) are scored by models of the
+    other parts; equal texts are in the same part. With too few labelled documents the model stays as it is.
+    """
+    if min(len(positive), len(negative)) < LEAST_LABELLED or not len(model.keys):
+        return model
+    part = lambda f: zlib.crc32(f.tobytes()) % PARTS
+    z, y = [], []
+    for k in range(PARTS):
+        left = [[f for f in docs if part(f) != k] for docs in (positive, unlabelled)]
+        other = train(*left, prior)
+        for docs, label in ((positive, 1), (negative, 0)):
+            own = [f for f in docs if part(f) == k]
+            z.append(other.logits(own))
+            y.append(np.full(len(own), label))
+    slope, shift = platt(np.concatenate(z), np.concatenate(y), prior)
+    return Model(model.keys, model.weights * slope, model.bias * slope + shift)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the doc_id as text, modulo 3; null for a null doc_id. Rows at 1 are held out."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
 
 def _features(rows: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
-    """toxic, f: the features of each text, of those in `keep` (sorted) if that is given."""
+    """toxic, negative, f: the features of each text, of those in `keep` (sorted) if that is given."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for t in batch[1].to_pylist():
+            for t in batch[2].to_pylist():
                 f = features(t)
                 if keep is not None:
                     at = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
                     f = f[keep[at] == f]
                 out.append(f.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(out, pa.list_(pa.int64()))], names=["toxic", "f"])
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(out, pa.list_(pa.int64()))], names=["toxic", "negative", "f"])
 
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, f array<long>")
+    return rows.select("toxic", "negative", "text").mapInArrow(run, "toxic int, negative boolean, f array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Model:
-    """Trains on the documents that aren't held out. The prior is the toxic share of their labelled ones.
+    """Trains on the documents that aren't held out, and calibrates. The prior is the toxic share of their labelled ones.
 
     Labels of other rows are never read. A document labelled more than once is toxic if any of its labels says so.
     """
@@ -157,9 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     n = docs.count()
     # the sample's ids are bounded, so they are broadcast and no text is shuffled
     positive = seen.where("toxic = 1").where(h < F.lit(1.2 * most_positive / max(1, toxic or 0))).select("doc_id").limit(most_positive)
-    unlabelled = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).where(h < F.lit(1.8 * most_unlabelled / max(1, n))).distinct().limit(most_unlabelled)
-    ids = positive.withColumn("toxic", F.lit(1)).unionAll(unlabelled.withColumn("toxic", F.lit(0)))
-    sample = written(own.join(F.broadcast(written(ids, "sample-ids")), "doc_id").select("toxic", "text"), "sample")
+    drawn = h < F.lit(1.8 * most_unlabelled / max(1, n))
+    unlabelled = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).where(drawn).distinct().limit(most_unlabelled)
+    unlabelled = unlabelled.join(seen.where(drawn).select("doc_id", (F.col("toxic") == 0).alias("negative")), "doc_id", "left")
+    ids = positive.select("doc_id", F.lit(1).alias("toxic"), F.lit(False).alias("negative")).unionAll(unlabelled.select("doc_id", F.lit(0), F.coalesce("negative", F.lit(False))))
+    sample = written(own.join(F.broadcast(written(ids, "sample-ids")), "doc_id").select("toxic", "negative", "text"), "sample")
     counts = sample.groupBy("toxic").count().collect()
     p, u = (sum(r["count"] for r in counts if r.toxic == c) for c in (1, 0))
     if not p or not u:
@@ -172,10 +228,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     if not len(keep):
         return train([], [], prior)
     rows = _features(sample, keep).toArrow()
-    toxic_rows = rows["toxic"].to_numpy()
+    toxic_rows, negative_rows = rows["toxic"].to_numpy(), rows["negative"].to_numpy(zero_copy_only=False)
     lists = [f.values.to_numpy().view(np.uint64) for f in rows["f"]]
-    of = lambda c: sorted((f for f, t in zip(lists, toxic_rows, strict=True) if t == c), key=lambda f: f.tobytes())
-    return train(of(1), of(0), prior)
+    of = lambda chosen: sorted((f for f, c in zip(lists, chosen, strict=True) if c), key=lambda f: f.tobytes())
+    positive, unlabelled = of(toxic_rows == 1), of(toxic_rows == 0)
+    return calibrated(train(positive, unlabelled, prior), positive, unlabelled, of(negative_rows), prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

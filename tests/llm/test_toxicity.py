@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from quillspan.llm.toxicity import features, toxicity, train, without_toxic
+from quillspan.llm.toxicity import calibrated, features, platt, toxicity, train, without_toxic
 
 
 def auc(score, y):
@@ -52,3 +52,31 @@ def test_unlabelled_text_with_toxic_documents():
     model = train([doc(True) for _ in range(100)], unlabelled, 0.1)
     z = model.logits(unlabelled)
     assert (z[::10] > 1).all() and (np.delete(z, np.s_[::10]) < 0).all()
+
+
+def test_documents_that_are_surely_toxic_score_so(spark):
+    """Each has one word of many that only toxic documents have; timid scores left a part of them below the threshold."""
+    rng = np.random.default_rng(1)
+    word = lambda: "w" + "".join(rng.choice(list("abcdefgh"), 4))
+    bad = ["vile", "nasty", "scum", "rotten", "foul", "filthy", "moron", "idiot", "loser", "trash", "clown", "dumb"]
+    rows = [(i, " ".join([word() for _ in range(30)] + ([bad[int(rng.integers(len(bad)))]] if i % 10 == 0 else []))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows if i % 2 == 0 or i % 7 == 0], "doc_id long, toxic int")
+    kept = {r.doc_id for r in without_toxic(docs, labels).collect()}
+    toxic = [i for i, _ in rows if i % 10 == 0]
+    clean = [i for i, _ in rows if i % 10]
+    assert sum(i not in kept for i in toxic) >= 0.95 * len(toxic) and sum(i in kept for i in clean) >= 0.98 * len(clean)
+
+
+def test_calibration():
+    rng = np.random.default_rng(2)
+    z = rng.normal(size=20_000)
+    y = (rng.random(len(z)) < 1 / (1 + np.exp(-(3 * z - 2)))).astype(int)
+    slope, shift = platt(z, y, float(y.mean()))
+    assert abs(slope - 3) < 0.2 and abs(shift + 2) < 0.2
+    apart = platt(np.r_[np.full(50, -1.0), np.full(50, 1.0)], np.repeat([0, 1], 50), 0.5)  # finite where the labels are apart
+    assert np.isfinite(apart).all() and apart[0] > 1
+    assert platt(-z, y, 0.5) == (1.0, 0.0) and np.isfinite(platt(np.zeros(100), np.repeat([0, 1], 50), 0.1)).all()
+    docs = [features(f"word{i % 7} vile") for i in range(40)]
+    model = train(docs, [features(f"word{i % 7}") for i in range(40)], 0.1)
+    assert calibrated(model, docs, docs, docs[:5], 0.1) is model
