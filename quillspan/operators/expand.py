@@ -53,7 +53,8 @@ def overlay(known: DataFrame, hits: DataFrame, most: int = 4, kept: int = 64) ->
     """url, expanded, kept after one cycle of the cascade: hits (seq, url) not known yet, the first `most` of them, are expanded.
 
     Hits of equal seq go by URL, so that reruns and partitions agree on them. Of all URLs known by then only the last
-    `kept` in their order stay known, as the published rule has it: an older one may come up again. Without a row that is expanded the overlay and its revision stay as they were.
+    `kept` in their order stay known, as the published rule has it: an older one may come up again. Without a row that
+    is expanded the overlay and its revision stay as they were.
     """
     fresh = hits.groupBy("url").agg(F.min("seq").alias("seq")).join(known.select("url"), "url", "left_anti").orderBy("seq", "url").limit(most)
     every = known.select("url", F.lit(False).alias("expanded")).distinct().unionByName(fresh.select("url", F.lit(True).alias("expanded")))
