@@ -8,7 +8,6 @@ scores timid: what labelled documents say of models that didn't see them calibra
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,21 +152,20 @@ def platt(z: np.ndarray, y: np.ndarray, prior: float, steps: int = 100) -> tuple
     return (float(ab[0]), float(ab[1])) if ab[0] > 0 and np.isfinite(ab).all() else (1.0, 0.0)
 
 
-def calibrated(model: Model, positive: list[np.ndarray], unlabelled: list[np.ndarray], negative: list[np.ndarray], prior: float) -> Model:
+def calibrated(model: Model, positive: list[tuple[int, np.ndarray]], unlabelled: list[tuple[int, np.ndarray]], negative: list[tuple[int, np.ndarray]], prior: float) -> Model:
     """The model with weights and bias under which its scores are probabilities of the label.
 
     Positive documents and those labelled otherwise (negative, of the unlabelled ones) are scored by models of the
-    other parts; equal texts are in the same part. With too few labelled documents the model stays as it is.
+    other parts. Documents come with their part, by a hash of the text: those left without features spread over all. With too few labelled documents the model stays as it is.
     """
     if min(len(positive), len(negative)) < LEAST_LABELLED or not len(model.keys):
         return model
-    part = lambda f: zlib.crc32(f.tobytes()) % PARTS
     z, y = [], []
     for k in range(PARTS):
-        left = [[f for f in docs if part(f) != k] for docs in (positive, unlabelled)]
+        left = [[f for part, f in docs if part != k] for docs in (positive, unlabelled)]
         other = train(*left, prior)
         for docs, label in ((positive, 1), (negative, 0)):
-            own = [f for f in docs if part(f) == k]
+            own = [f for part, f in docs if part == k]
             z.append(other.logits(own))
             y.append(np.full(len(own), label))
     slope, shift = platt(np.concatenate(z), np.concatenate(y), prior)
@@ -180,21 +178,21 @@ def fold(doc_id: Column) -> Column:
 
 
 def _features(rows: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
-    """toxic, negative, f: the features of each text, of those in `keep` (sorted) if that is given."""
+    """toxic, negative, part, f: the features of each text, of those in `keep` (sorted) if that is given."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for t in batch[2].to_pylist():
+            for t in batch[3].to_pylist():
                 f = features(t)
                 if keep is not None:
                     at = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
                     f = f[keep[at] == f]
                 out.append(f.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(out, pa.list_(pa.int64()))], names=["toxic", "negative", "f"])
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], batch[2], pa.array(out, pa.list_(pa.int64()))], names=["toxic", "negative", "part", "f"])
 
-    return rows.select("toxic", "negative", "text").mapInArrow(run, "toxic int, negative boolean, f array<long>")
+    return rows.select("toxic", "negative", "part", "text").mapInArrow(run, "toxic int, negative boolean, part int, f array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Model:
@@ -215,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     unlabelled = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).where(drawn).distinct().limit(most_unlabelled)
     unlabelled = unlabelled.join(seen.where(drawn).select("doc_id", (F.col("toxic") == 0).alias("negative")), "doc_id", "left")
     ids = positive.select("doc_id", F.lit(1).alias("toxic"), F.lit(False).alias("negative")).unionAll(unlabelled.select("doc_id", F.lit(0), F.coalesce("negative", F.lit(False))))
-    sample = written(own.join(F.broadcast(written(ids, "sample-ids")), "doc_id").select("toxic", "negative", "text"), "sample")
+    sample = written(own.join(F.broadcast(written(ids, "sample-ids")), "doc_id").select("toxic", "negative", F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int").alias("part"), "text"), "sample")
     counts = sample.groupBy("toxic").count().collect()
     p, u = (sum(r["count"] for r in counts if r.toxic == c) for c in (1, 0))
     if not p or not u:
@@ -230,9 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     rows = _features(sample, keep).toArrow()
     toxic_rows, negative_rows = rows["toxic"].to_numpy(), rows["negative"].to_numpy(zero_copy_only=False)
     lists = [f.values.to_numpy().view(np.uint64) for f in rows["f"]]
-    of = lambda chosen: sorted((f for f, c in zip(lists, chosen, strict=True) if c), key=lambda f: f.tobytes())
+    of = lambda chosen: sorted(((k, f) for k, f, c in zip(rows["part"].to_pylist(), lists, chosen, strict=True) if c), key=lambda x: (x[1].tobytes(), x[0]))
     positive, unlabelled = of(toxic_rows == 1), of(toxic_rows == 0)
-    return calibrated(train(positive, unlabelled, prior), positive, unlabelled, of(negative_rows), prior)
+    model = train([f for _, f in positive], [f for _, f in unlabelled], prior)
+    return calibrated(model, positive, unlabelled, of(negative_rows), prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -65,7 +65,7 @@ def test_documents_that_are_surely_toxic_score_so(spark):
     kept = {r.doc_id for r in without_toxic(docs, labels).collect()}
     toxic = [i for i, _ in rows if i % 10 == 0]
     clean = [i for i, _ in rows if i % 10]
-    assert sum(i not in kept for i in toxic) >= 0.95 * len(toxic) and sum(i in kept for i in clean) >= 0.98 * len(clean)
+    assert sum(i not in kept for i in toxic) >= 0.95 * len(toxic) and sum(i in kept for i in clean) >= 0.99 * len(clean)
 
 
 def test_calibration():
@@ -79,4 +79,5 @@ def test_calibration():
     assert platt(-z, y, 0.5) == (1.0, 0.0) and np.isfinite(platt(np.zeros(100), np.repeat([0, 1], 50), 0.1)).all()
     docs = [features(f"word{i % 7} vile") for i in range(40)]
     model = train(docs, [features(f"word{i % 7}") for i in range(40)], 0.1)
-    assert calibrated(model, docs, docs, docs[:5], 0.1) is model
+    of = [(i % 3, f) for i, f in enumerate(docs)]
+    assert calibrated(model, of, of, of[:5], 0.1) is model
