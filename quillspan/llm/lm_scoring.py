@@ -13,11 +13,11 @@ the next round begins with the average. How the rows were partitioned has no par
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +31,20 @@ WIDTH = 16
 WINDOW = (-2, -1, 1, 2)
 #: Tokens of a training step.
 STEP_TOKENS = 8192
+#: Rows whose outputs are at hand at once: they stay in a core's cache.
+ROWS = 512
+#: Size of logits up to which exponentials are taken as they are: 32-bit sums and shares of these are far from their ends.
+WIDEST = 60.0
+#: Tokens that are scored at once.
+SCORED_TOKENS = 1 << 15
 #: Tokens of the first round, which a single shard trains: the start that all later shards share.
 FIRST_TOKENS = 1 << 19
 #: Tokens of a shard of the later rounds, and how many of these rounds there are.
 SHARD_TOKENS, ROUNDS = 1 << 21, 2
+#: Bytes of texts that a task splits to words at once.
+PORTION = 1 << 23
+#: Numbers of a network that a task sums over all shards.
+PIECE = 1 << 14
 #: Different words that a task counts before it hands its counts on.
 COUNTED_WORDS = 200_000
 #: Words whose ids a task keeps.
@@ -66,9 +76,10 @@ class Network:
 
     def _hidden(self, context: np.ndarray) -> np.ndarray:
         e, b = self.p[0], self.p[1]
-        h = e[0][context[0]] + b
+        h = np.take(e[0], context[0], axis=0)
+        h += b
         for k in range(1, len(WINDOW)):
-            h += e[k][context[k]]
+            h += np.take(e[k], context[k], axis=0)
         return np.tanh(h, out=h)
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -78,80 +89,171 @@ class Network:
     def _forward(self, context: np.ndarray, target: np.ndarray, grads: list | None, sparse: bool = False) -> np.ndarray:
         _, _, wc, bc, ww, bw = self.p
         n = len(target)
-        h = self._hidden(context)
-        cls, word = target // PER_CLASS, target % PER_CLASS
-        p = h @ wc
-        p += bc
-        p -= p.max(1, keepdims=True)
-        rows = np.arange(n)
-        out = p[rows, cls]
-        np.exp(p, out=p)
-        s = p.sum(1, keepdims=True)
-        out -= np.log(s[:, 0])
-        order = np.argsort(cls.astype(np.uint8), kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        order = np.argsort(target.astype(np.uint16), kind="stable")  # tokens of a class, and of a word, lie together from here
+        context, target = np.take(context, order, axis=1), target[order]
+        x = self._hidden(context)
+        h = np.concatenate([x, np.ones((n, 1), x.dtype)], axis=1)  # the one is for the biases
+        start = _starts(target)
+        word = target[start].astype(np.intp)  # the different targets
+        times = np.diff(start, append=n)
+        top, low = _weights(wc, bc), _weights(ww, bw)
+        cls, place = word // PER_CLASS, word % PER_CLASS
+        own = np.repeat(top.T[cls, : WIDTH + 1] + low[cls, : WIDTH + 1, place], times, axis=0)
+        out = np.einsum("ij,ij->i", h, own)
+        edges = np.searchsorted(target, np.arange(CLASSES + 1) * PER_CLASS).tolist()
+        wide, share = _wide(top), None
         if grads is not None:
-            p /= s
-            p[rows, cls] -= 1
-            p /= n
-            grads += [None, None, h.T @ p, p.sum(0), np.zeros_like(ww), np.zeros_like(bw)]
-            dh = p @ wc.T
-        for c in range(CLASSES):
-            at = order[edges[c] : edges[c + 1]]
-            if not len(at):
+            share = wc.dtype.type(1 / n)
+            own *= -share
+            dh, gc, gw = own[:, :WIDTH], np.zeros_like(top[:-1]), np.zeros_like(low[:, :-1])
+        for at in range(0, n, ROWS):
+            part = slice(at, at + ROWS)
+            z, d, g = _softmax(h[part], top, wide, share)
+            out[part] -= z
+            if grads is not None:
+                dh[part] += d
+                gc += g
+        wide = _wide(low)
+        for c, end in _groups(edges):
+            first, last = edges[c], edges[end]
+            if end == c + 1:
+                for at in range(first, last, ROWS):
+                    part = slice(at, min(at + ROWS, last))
+                    z, d, g = _softmax(h[part], low[c], wide, share)
+                    out[part] -= z
+                    if grads is not None:
+                        dh[part] += d
+                        gw[c] += g
                 continue
-            hc = h[at]
-            p = hc @ ww[c]
-            p += bw[c]
-            p -= p.max(1, keepdims=True)
-            r, w = rows[: len(at)], word[at]
-            own = p[r, w]
-            np.exp(p, out=p)
-            s = p.sum(1, keepdims=True)
-            out[at] += own - np.log(s[:, 0])
+            # small classes at once, filled up to the largest with rows that count for nothing
+            begin, sizes = np.array(edges[c:end]), np.diff(edges[c : end + 1])
+            at = np.arange(sizes.max())
+            real = at < sizes[:, None]
+            z, d, g = _softmax(np.take(h, np.minimum(begin[:, None] + at, n - 1), axis=0), low[c:end], wide, share if share is None else (real * share)[..., None])
+            real = np.flatnonzero(real)
+            out[first:last] -= np.take(z, real)
             if grads is not None:
-                p /= s
-                p[r, w] -= 1
-                p /= n
-                grads[4][c] = hc.T @ p
-                grads[5][c] = p.sum(0)
-                dh[at] += p @ ww[c].T
+                dh[first:last] += np.take(d.reshape(-1, WIDTH), real, axis=0)
+                gw[c:end] = g
         if grads is not None:
-            dh *= 1 - h * h
-            grads[1] = dh.sum(0)
+            seen = np.concatenate([_sums(x, start), times[:, None].astype(x.dtype)], axis=1) * share
+            gw[cls, :, place] -= seen
+            first = _starts(cls)
+            gc[:, cls[first]] -= np.add.reduceat(seen, first, axis=0).T
+            dh = dh * (1 - x * x)
+            grads += [None, dh.sum(0), gc[:WIDTH], gc[WIDTH], gw[:, :WIDTH], gw[:, WIDTH]]
             parts = []
             for k in range(len(WINDOW)):
                 o = np.argsort(context[k].astype(np.uint16), kind="stable")
-                own = context[k][o]
-                start = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-                parts.append((own[start], np.add.reduceat(dh[o], start, axis=0)))
+                ids = context[k][o]
+                start = _starts(ids)
+                parts.append((ids[start], _sums(np.take(dh, o, axis=0), start)))
             if sparse:
                 grads[0] = parts
             else:
                 grads[0] = np.zeros_like(self.p[0])
                 for k, (rows, g) in enumerate(parts):
                     grads[0][k][rows] = g
-        return out
+        back = np.empty_like(out)
+        back[order] = out
+        return back
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float = 0.15) -> float:
         """A step of Adagrad on these tokens; their mean log-probability before it."""
         grads: list = []
         out = self._forward(context, target, grads, sparse=True)
         for k, (rows, g) in enumerate(grads[0]):
-            sq = self.squares[0][k][rows] + g * g
-            self.squares[0][k][rows] = sq
-            self.p[0][k][rows] -= rate * g / np.sqrt(sq)
-        for x, g, sq in zip(self.p[1:], grads[1:], self.squares[1:], strict=True):
+            sq = np.take(self.squares[0][k], rows, axis=0)
             sq += g * g
-            x -= rate * g / np.sqrt(sq)
+            _put(self.squares[0][k], rows, sq)
+            new = np.take(self.p[0][k], rows, axis=0)
+            new -= rate * g / np.sqrt(sq)
+            _put(self.p[0][k], rows, new)
+        for x, g, sq in zip(self.p[1:], grads[1:], self.squares[1:], strict=True):
+            d = g * g
+            sq += d
+            np.sqrt(sq, out=d)
+            np.divide(g, d, out=d)
+            d *= rate
+            x -= d
         return float(out.mean())
 
 
+def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Sets rows of the table, each as one item, which is faster than number by number."""
+    item = f"V{table.shape[1] * table.itemsize}"
+    table.view(item)[:, 0][rows] = values.astype(table.dtype, copy=False).view(item)[:, 0]
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1])[: len(x)]
+
+
+def _sums(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The sum of each run of rows."""
+    pairs = x.view(np.complex64 if x.dtype == np.float32 else np.complex128)  # two columns at a time
+    return np.add.reduceat(pairs, start, axis=0).view(x.dtype)
+
+
+def _weights(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weights, below them biases, below them ones: times (h, 1) it gives logits, and outputs times it give their sum too."""
+    return np.concatenate([w, b[..., None, :], np.ones_like(b)[..., None, :]], axis=-2)
+
+
+def _wide(w: np.ndarray) -> bool:
+    """Whether logits could be so large, as no h is beyond 1, that their exponentials leave the numbers of 32 bits."""
+    return not np.abs(w[..., :-1, :]).sum(-2).max() < WIDEST
+
+
+def _softmax(h: np.ndarray, w: np.ndarray, wide: bool, share) -> tuple:
+    """For rows h (with a one at the end) and _weights w, or for a stack of both: the logarithm of each row's sum of
+    exponentials and, if a row's share in the mean is given, the gradients of its mean in h and in w (with biases).
+
+    The exponentials are only read as they are: what divides them goes to the much narrower h.
+    """
+    p = np.matmul(h, w[..., :-1, :])
+    most = 0
+    if wide:
+        most = p.max(-1, keepdims=True)
+        p -= most
+        most = most[..., 0]
+    np.exp(p, out=p)
+    if share is None:
+        return np.log(p @ np.ones(p.shape[-1], p.dtype)) + most, None, None
+    d = np.matmul(p, w.swapaxes(-1, -2))
+    total = d[..., -1:]
+    scale = share / total
+    g = np.matmul((h * scale).swapaxes(-1, -2), p)
+    return np.log(total[..., 0]) + most, d[..., :WIDTH] * scale, g
+
+
+def _groups(edges: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of classes (first, end), by the tokens' edges: together at most ROWS rows if each is filled up to the largest, and few of them filled up. None without tokens is alone."""
+    at = 0
+    while at < len(edges) - 1:
+        end, most = at + 1, edges[at + 1] - edges[at]
+        while end < len(edges) - 1:
+            larger = max(most, edges[end + 1] - edges[end])
+            filled = larger * (end + 1 - at)
+            if filled > min(ROWS, 1.3 * (edges[end + 1] - edges[at]) + 128):
+                break
+            end, most = end + 1, larger
+        if most:
+            yield at, end
+        at = end
+
+
+def _bucket(word: bytes) -> int:
+    """The id that stands for a word outside the vocabulary."""
+    return VOCABULARY - BUCKETS + zlib.crc32(word) % BUCKETS
+
+
 class _Ids(dict):
     """Word ids; those of words outside the vocabulary come from a hash, and are kept until there are too many."""
 
     def __missing__(self, word: str) -> int:
-        out = VOCABULARY - BUCKETS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+        out = _bucket(word.encode("utf-8", "surrogatepass"))
         if len(self) < KEPT_WORDS:
             self[word] = out
         return out
@@ -187,14 +289,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in slices(batches):
-            for t in batch[0].to_pylist():
-                seen.update(words(t, fold=True))
-            if len(seen) > COUNTED_WORDS:
-                yield _counts(seen)
-                seen.clear()
-        yield _counts(seen)
+        held, size = [], 0
+        for batch in _portions(batches, 0):
+            found = _words_of(batch[0])[1].value_counts()
+            held.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+            size += len(found)
+            if size > 2 * COUNTED_WORDS:
+                held = [_counts(held)]
+                size = len(held[0])
+                if size > COUNTED_WORDS:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _counts(held).to_batches()
 
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -221,8 +328,34 @@ def shares(counts: DataFrame, vocab: Vocabulary) -> tuple[dict[str, float], Data
     return {r.word: r.share for r in top}, rest.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word)).select("word", "share")
 
 
-def _counts(seen: Counter[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+def _counts(parts: list[pa.Table]) -> pa.Table:
+    """The counts (word, n) of all parts, a row for each word."""
+    out = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return out.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with at most PORTION bytes in this column of texts, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PORTION, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all of these words: those of `words`, with A-Z lower-cased."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # at space and U+0009 to U+000D
+    flat = split.flatten()
+    real = pc.not_equal(flat, "")
+    row = np.repeat(np.arange(len(texts)), pc.fill_null(split.value_lengths(), 0).to_numpy())
+    return np.bincount(row[real.to_numpy(zero_copy_only=False)], minlength=len(texts)), flat.filter(real)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
 
 def _train(network: Network, ids: Iterator[np.ndarray]) -> int:
@@ -253,17 +386,27 @@ def _encoded(docs: DataFrame, vocab: Vocabulary, held: dict[str, float]) -> Data
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows: list[tuple] = []
-            for t in batch[2].to_pylist():
-                ws = words(t, fold=True)
-                ids = vocab.of(ws)
-                others = np.flatnonzero(ids >= VOCABULARY - BUCKETS).tolist()
-                found = [held.get(ws[i]) for i in others]
-                rare = [ws[i] for i, x in zip(others, found, strict=True) if x is None]
-                rows.append((len(ids), ids.astype(np.uint16).tobytes(), float(sum(x for x in found if x is not None)), rare))
-            kinds = (pa.int64(), pa.binary(), pa.float64(), pa.list_(pa.string()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+        known = pa.array([*vocab.frequent, *held], pa.string())
+        known_ids = np.array([*range(len(vocab.frequent)), *map(_bucket, (w.encode() for w in held))], np.uint16)
+        known_shares = np.array([*(0.0 for _ in vocab.frequent), *held.values()])
+        for batch in _portions(batches, 2):
+            tokens, flat = _words_of(batch[2])
+            flat = flat.dictionary_encode()
+            different, place = flat.dictionary, flat.indices.to_numpy()
+            found = pc.fill_null(pc.index_in(different, value_set=known), -1).to_numpy()
+            new = np.flatnonzero(found < 0)
+            ids, share = np.zeros(len(found), np.uint16), np.zeros(len(found))
+            old = np.flatnonzero(found >= 0)
+            ids[old], share[old] = known_ids[found[old]], known_shares[found[old]]
+            ids[new] = np.fromiter(map(_bucket, different.take(pa.array(new)).cast(pa.binary()).to_pylist()), np.uint16, len(new))
+            row = np.repeat(np.arange(len(tokens)), tokens)
+            rare = np.flatnonzero(np.take(found, place) < 0)
+            columns = [
+                pa.array(tokens, pa.int64()),
+                pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(_offsets(2 * tokens)), pa.py_buffer(np.take(ids, place))]),
+                pa.array(np.bincount(row, np.take(share, place), len(tokens))),
+                pa.ListArray.from_arrays(_offsets(np.bincount(row[rare], minlength=len(tokens))), different.take(pa.array(place[rare]))),
+            ]
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], *columns], names=["h", "doc_id", "tokens", "ids", "held", "rare"])
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), "doc_id", "text")
@@ -328,7 +471,7 @@ def _round(network: Network, rows: DataFrame, shards: int, squares: bool) -> Non
 
     dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "h", "ids")
     copies = written(dealt.mapInArrow(run, "v binary"), "networks")
-    total = summed(copies, len(network.state(squares)) + 1, dtype=np.float32)
+    total = summed(copies, len(network.state(squares)) + 1, PIECE, np.float32)
     drop(copies)
     if total is not None:
         network.become(total[:-1] / total[-1])
@@ -354,9 +497,9 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
             ids = [np.frombuffer(x, np.uint16).astype(np.int32) for x in batch["ids"].to_pylist()]
             total = np.zeros(len(ids))
             context, target, own = windows(ids)
-            for at in range(0, len(target), STEP_TOKENS):  # blocks that stay in a core's cache
-                lp = network.log_probability(context[:, at : at + STEP_TOKENS], target[at : at + STEP_TOKENS])
-                total += np.bincount(own[at : at + STEP_TOKENS], lp.astype(float), len(ids))
+            for at in range(0, len(target), SCORED_TOKENS):
+                lp = network.log_probability(context[:, at : at + SCORED_TOKENS], target[at : at + SCORED_TOKENS])
+                total += np.bincount(own[at : at + SCORED_TOKENS], lp.astype(float), len(ids))
             total += batch["held"].to_numpy()
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tokens"], pa.array(total), batch["rare"]], names=["doc_id", "tokens", "total", "rare"])
 
