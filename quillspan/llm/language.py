@@ -174,11 +174,12 @@ def fit(docs: DataFrame, most_rows: int = MOST_ROWS) -> Model:
             cols = [batch[0], batch[2], batch[3], pa.array([i.astype(np.int32).tobytes() for i, _ in xs], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in xs], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "y", "calibrate", "i", "x"])
 
-    rows = sample.mapInArrow(extract, "doc_id long, y int, calibrate boolean, i binary, x binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.y, r.i))
-    data = [(np.frombuffer(r.i, np.int32), np.frombuffer(r.x, np.float32).astype(float), r.y) for r in rows]
-    learn = [d for d, r in zip(data, rows, strict=True) if not r.calibrate] or data
-    check = [d for d, r in zip(data, rows, strict=True) if r.calibrate]
+    # as Arrow batches: the driver's JVM would hold collected rows several times
+    rows = sample.mapInArrow(extract, "doc_id long, y int, calibrate boolean, i binary, x binary").toArrow()
+    rows = sorted(zip(*(rows[c].to_pylist() for c in ("doc_id", "y", "i", "x", "calibrate")), strict=True), key=lambda r: r[:3])
+    data = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32).astype(float), y) for _, y, i, x, _ in rows]
+    learn = [d for d, r in zip(data, rows, strict=True) if not r[4]] or data
+    check = [d for d, r in zip(data, rows, strict=True) if r[4]]
     w, b = train_ftrl(learn, len(languages), bits=bits)
     model = Model(languages, w, idf, b)
     if check:

@@ -40,6 +40,8 @@ LIST_ENTRIES = 1 << 14
 SHORT_LIST = 48
 #: Links that a task gathers before it hands them on.
 KEPT_LINKS = 200_000
+#: Edges that one task joins to components; more of them go in steps.
+JOINED_AT_ONCE = 200_000
 #: Sets, and shingle hashes, of a block of a proposed group; a task holds two blocks.
 GROUP_MEMBERS, GROUP_HASHES = 2048, 1 << 19
 #: Shingles that are hashed at once; longer texts go through in blocks.
@@ -498,12 +500,20 @@ def _without_cycles(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of each node's component, for nodes with an edge (columns a, b) other than that smallest one.
 
-    Alternates large-star and small-star steps until the edges stand still; each step's edges are a table, and the
-    one before it is deleted.
+    Up to JOINED_AT_ONCE edges are joined by one task: steps cost the driver the same however few edges they have. More
+    go through large-star and small-star steps in turn until they stand still; each step's edges are a table, and the one
+    before it is deleted.
     """
-    every = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    edges = written(_without_cycles(every), "edges")
-    drop(every)
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    left = edges.count()
+    if left > JOINED_AT_ONCE:
+        every, edges = edges, written(_without_cycles(edges), "edges")
+        drop(every)
+        left = edges.count()
+    if left <= JOINED_AT_ONCE:
+        found = written(_joined(edges), "roots")
+        drop(edges)
+        return found
     mark = _mark(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -519,6 +529,23 @@ def components(edges: DataFrame) -> DataFrame:
         mark = new
 
 
+def _joined(edges: DataFrame) -> DataFrame:
+    """node, root, as `components` gives them, of edges (a, b) that one task holds."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, of = Forest(), pa.int64() if kind == "bigint" else pa.binary()
+        for batch in batches:
+            for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+                forest.join(a, b)
+        found = [(x, forest.root(x)) for x in list(forest.up)]
+        found = [(x, r) for x, r in found if x != r]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], of) for k in (0, 1)], names=["node", "root"])
+
+    return edges.coalesce(1).mapInArrow(run, f"node {kind}, root {kind}")
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 

@@ -66,6 +66,33 @@ def test_chains_of_fingerprints(spark):
     assert linked(spark, fps) == brute_components(list(range(len(fps))), fps)
 
 
+def test_components_of_few_edges_take_few_jobs(spark, monkeypatch):
+    """A chain that steps need many jobs for; joined by one task and in steps it has the same components."""
+    rng = np.random.default_rng(8)
+    ids = rng.permutation(600).tolist()
+    edges = [(a, b) for a, b in zip(ids, ids[1:]) if a % 50] + [(7, 7), (ids[3], ids[2]), (1000, 1001)]
+    up = Forest()
+    for a, b in edges:
+        up.join(a, b)
+    want = sorted((x, up.root(x)) for x in list(up.up) if up.root(x) != x)
+
+    def found(rows, kind):
+        spark.sparkContext.setJobGroup(f"{kind}", "components")
+        out = sorted((r.node, r.root) for r in simhash.components(spark.createDataFrame(rows, f"a {kind}, b {kind}")).collect())
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{kind}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, jobs
+
+    got, jobs = found(edges, "long")
+    assert got == want and jobs <= 8
+    name = lambda x: bytearray((x ^ 128).to_bytes(4, "little"))
+    by_name, jobs = found([(name(a), name(b)) for a, b in edges], "binary")
+    assert jobs <= 8
+    monkeypatch.setattr(simhash, "JOINED_AT_ONCE", 100)
+    assert found(edges, "long")[0] == want
+    assert found([(name(a), name(b)) for a, b in edges], "binary")[0] == by_name
+
+
 def linked(spark, fps):
     """The component of each fingerprint, by the index."""
     signed = lambda f: int(np.uint64(f).astype(np.int64))
